@@ -8,11 +8,12 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Every character that counts as white space, as in Unicode and Python's str.split().
-WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The same as a class of Java's regular expressions.
-WS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NOT_WS = "[^" + WS[1:]
 #: A stretch without white space that holds a letter, a digit or an underscore.
 WORD = rf"{NOT_WS}*[\p{{L}}\p{{N}}_]{NOT_WS}*"
@@ -57,7 +58,7 @@ def slug(text: Column, size: int = 50, default: str = "chunk") -> Column:
     return F.left(first_filled(made, default), F.lit(size))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_folded(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without any non-ASCII character. Spark has no built-in for it."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
