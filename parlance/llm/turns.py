@@ -18,11 +18,11 @@ from parlance.sources.shared import width, written
 #: Sounds a transcriber notes down, alone within brackets, asterisks or notes.
 SOUNDS = "applause|background noise|beep|beeping|breathing|cheering|clears throat|coughing|coughs|cross ?talk|door closes|door opens|inaudible|indistinct|laughing|laughs|laughter|music|music playing|noise|pause|phone ringing|sighing|sighs|silence|sneezes|sniffs|static|unintelligible"
 #: Hesitation sounds by language, each letter as often as the speaker drew it out.
-HESITATIONS = {"de": "ä+h+m*|ö+h+m*|h+m+", "en": "u+m+|u+h+m*|e+r+m*|h+m+|m+m+", "es": "e+h+m*|e+m+|m+m+", "fr": "e+u+h+|h+e+u+|h+u+m+"}
+HESITATIONS = {"de": "[äÄ]+h+m*|[öÖ]+h+m*|h+m+", "en": "u+m+|u+h+m*|e+r+m*|h+m+|m+m+", "es": "e+h+m*|e+m+|m+m+", "fr": "e+u+h+|h+e+u+|h+u+m+"}
 #: Phrases without meaning when commas set them off.
-PHRASES = {"de": "weißt du|wisst ihr|sozusagen|sag ich mal", "en": "you know|i mean|kind of|sort of|you see", "es": "o sea|digamos|sabes|sabéis", "fr": "tu vois|vous voyez|disons|vous savez|tu sais"}
+PHRASES = {"de": "weißt du|wisst ihr|sozusagen|sag ich mal", "en": "you know|i mean|kind of|sort of|you see", "es": "o sea|digamos|sabes|sab[éÉ]is", "fr": "tu vois|vous voyez|disons|vous savez|tu sais"}
 #: Frequent words that the other languages here don't have.
-COMMON = {"en": "the|and|of|that|with|from|for|you|we|are|is", "de": "der|die|das|ist|nicht|und|wird|wir|ich|dass|den", "fr": "est|une|vous|nous|pas|cela|le|il|ce|sur|au", "es": "el|los|por|una|está|del|hay|lo|fue|se|al"}
+COMMON = {"en": "the|and|of|that|with|from|for|you|we|are|is", "de": "der|die|das|ist|nicht|und|wird|wir|ich|dass|den", "fr": "est|une|vous|nous|pas|cela|le|il|ce|sur|au", "es": "el|los|por|una|est[áÁ]|del|hay|lo|fue|se|al"}
 LANGUAGES = ("en", "de", "fr", "es")
 
 _CLOCK = r"\d{1,5}:\d\d(?::\d\d)?(?:[.,]\d+)?"
