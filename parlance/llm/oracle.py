@@ -43,11 +43,18 @@ rows_in AS (SELECT s.session_id, pos, start_s, end_s, CASE WHEN coalesce(speaker
   CASE {words} ELSE {n(left("en"))} END AS n FROM s LEFT JOIN lg USING (session_id) WHERE n > 0),""" + _NAMES
 
 
+_P6_LINE = "[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]"
+_P6 = f"""WITH t AS (SELECT DISTINCT session_id, chunk_id, translate(text, {" || ".join(f"chr({ord(c)})" for c in turns.WHITE if c not in "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029")}, {_text(" " * (len(turns.WHITE) - 10))}) AS x FROM chunk_index),
+w AS (SELECT *, len(regexp_extract_all(regexp_replace(x, {_text(_P6_LINE)}, ' ', 'g'), {_text(turns.WORDS)})) AS n FROM t),
+s AS (SELECT session_id, chunk_id, unnest(regexp_split_to_array(x, {_text(_P6_LINE + "|[.!?…] ")})) AS stretch FROM w, (SELECT max_words FROM size_limits WHERE purpose = 'split') WHERE n > max_words)
+SELECT session_id, chunk_id, CASE WHEN max(len(regexp_extract_all(stretch, {_text(turns.WORDS)}))) > any_value(max_words) THEN 'hard' ELSE 'soft' END AS cut FROM s, (SELECT max_words FROM size_limits WHERE purpose = 'split') GROUP BY session_id, chunk_id"""
+
 _RUN = "arg_min(pos, (start_s, pos)) AS first_pos"
 _MS = lambda x: f"CAST(round({x} * 1000) AS BIGINT)"
 
 ORACLE: dict[str, str] = {
     "p3_found": _P3 + f"SELECT session_id, {_RUN}, arg_max(pos, (start_s, pos)) AS last_pos, count(*) AS n_events, {_MS('max(end_s)')} - {_MS('min(start_s)')} AS duration_ms FROM k GROUP BY session_id, run HAVING count(*) >= 2",
     "p3_events": _P3 + f"SELECT session_id, any_value(who) AS speaker, {_RUN}, arg_max(pos, (start_s, pos)) AS last_pos, count(*) AS n_events, {_MS('min(start_s)')} AS start_ms, {_MS('max(end_s)')} AS end_ms FROM k GROUP BY session_id, run",
+    "p6_found": _P6,
     "p4_found": _p4() + f"SELECT session_id, {_RUN}, any_value(who) AS speaker, {_MS('min(start_s)')} AS start_ms, {_MS('arg_max(end_s, (start_s, pos))')} AS end_ms, CAST(sum(n) AS BIGINT) AS n_words FROM k GROUP BY session_id, run",
 }

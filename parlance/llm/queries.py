@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import events, turns
+from parlance.llm import events, packing, splitting, turns
+from parlance.llm.limits import limit
 from parlance.operators.segments import milliseconds
 from parlance.sources.tables import table
 
@@ -41,3 +42,31 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 def p4_turns(spark: SparkSession, folder: str) -> DataFrame:
     """The clean turns with their text."""
     return turns.turns_with_text(table(spark, folder, "segments"), table(spark, folder, "speaker_names"))
+
+
+@query
+def p2_containers(spark: SparkSession, folder: str) -> DataFrame:
+    size, _ = limit(table(spark, folder, "size_limits"), "container")
+    return packing.containers(packing.pack_chunks(table(spark, folder, "chunk_index"), size), size)
+
+
+@query
+def p2_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    size, _ = limit(table(spark, folder, "size_limits"), "container")
+    return packing.pack_chunks(table(spark, folder, "chunk_index"), size).drop("speaker_span")
+
+
+@query
+def p2_small_containers(spark: SparkSession, folder: str) -> DataFrame:
+    size, _ = limit(table(spark, folder, "size_limits"), "container_small")
+    return packing.containers(packing.pack_chunks(table(spark, folder, "chunk_index"), size), size)
+
+
+@query
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.found_oversized(table(spark, folder, "chunk_index"), *limit(table(spark, folder, "size_limits"), "split"))
+
+
+@query
+def p6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.split_oversized(table(spark, folder, "chunk_index"), *limit(table(spark, folder, "size_limits"), "split")).drop("longest_stretch")
