@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import events, packing, splitting, turns
+from parlance.llm import events, packing, pairs, splitting, turns
 from parlance.llm.limits import limit
 from parlance.operators.segments import milliseconds
 from parlance.sources.tables import table
@@ -70,3 +70,15 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p6_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split_oversized(table(spark, folder, "chunk_index"), *limit(table(spark, folder, "size_limits"), "split")).drop("longest_stretch")
+
+
+@query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pairs.found_defects(table(spark, folder, "chunk_index"), table(spark, folder, "chunk_summaries"))
+
+
+@query
+def p5_defects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every defect that was triggered, one row each."""
+    rows = pairs.pair_defects(table(spark, folder, "chunk_index"), table(spark, folder, "chunk_summaries"))
+    return rows.select("session_id", "chunk_id", F.explode("defects").alias("defect"))
