@@ -49,6 +49,10 @@ w AS (SELECT *, len(regexp_extract_all(regexp_replace(x, {_text(_P6_LINE)}, ' ',
 s AS (SELECT session_id, chunk_id, unnest(regexp_split_to_array(x, {_text(_P6_LINE + "|[.!?…] ")})) AS stretch FROM w, (SELECT max_words FROM size_limits WHERE purpose = 'split') WHERE n > max_words)
 SELECT session_id, chunk_id, CASE WHEN max(len(regexp_extract_all(stretch, {_text(turns.WORDS)}))) > any_value(max_words) THEN 'hard' ELSE 'soft' END AS cut FROM s, (SELECT max_words FROM size_limits WHERE purpose = 'split') GROUP BY session_id, chunk_id"""
 
+_P8_GRAMS = lambda t, i: f"(SELECT {i}, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM (SELECT {i}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {t}))"
+_P8 = f"""WITH d AS {_P8_GRAMS("documents", "doc_id")}, e AS {_P8_GRAMS("eval_items", "item_id")}
+SELECT DISTINCT doc_id, item_id FROM d JOIN e USING (g)"""
+
 _RUN = "arg_min(pos, (start_s, pos)) AS first_pos"
 _MS = lambda x: f"CAST(round({x} * 1000) AS BIGINT)"
 
@@ -56,5 +60,6 @@ ORACLE: dict[str, str] = {
     "p3_found": _P3 + f"SELECT session_id, {_RUN}, arg_max(pos, (start_s, pos)) AS last_pos, count(*) AS n_events, {_MS('max(end_s)')} - {_MS('min(start_s)')} AS duration_ms FROM k GROUP BY session_id, run HAVING count(*) >= 2",
     "p3_events": _P3 + f"SELECT session_id, any_value(who) AS speaker, {_RUN}, arg_max(pos, (start_s, pos)) AS last_pos, count(*) AS n_events, {_MS('min(start_s)')} AS start_ms, {_MS('max(end_s)')} AS end_ms FROM k GROUP BY session_id, run",
     "p6_found": _P6,
+    "p8_found": _P8,
     "p4_found": _p4() + f"SELECT session_id, {_RUN}, any_value(who) AS speaker, {_MS('min(start_s)')} AS start_ms, {_MS('arg_max(end_s, (start_s, pos))')} AS end_ms, CAST(sum(n) AS BIGINT) AS n_words FROM k GROUP BY session_id, run",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import events, packing, pairs, splitting, turns
+from parlance.llm import events, leaks, packing, pairs, splitting, turns
 from parlance.llm.limits import limit
 from parlance.operators.segments import milliseconds
 from parlance.sources.tables import table
@@ -82,3 +82,14 @@ def p5_defects(spark: SparkSession, folder: str) -> DataFrame:
     """Every defect that was triggered, one row each."""
     rows = pairs.pair_defects(table(spark, folder, "chunk_index"), table(spark, folder, "chunk_summaries"))
     return rows.select("session_id", "chunk_id", F.explode("defects").alias("defect"))
+
+
+@query
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.found_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+@query
+def p8_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaks with small edits too, with the extent and the edits of the best alignment."""
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
