@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import events, leaks, packing, pairs, splitting, turns
+from parlance.llm import events, leaks, packing, pairs, quality, splitting, turns
 from parlance.llm.limits import limit
 from parlance.operators.segments import milliseconds
 from parlance.sources.tables import table
@@ -93,3 +93,13 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 def p8_regions(spark: SparkSession, folder: str) -> DataFrame:
     """Leaks with small edits too, with the extent and the edits of the best alignment."""
     return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+@query
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.found_classes(table(spark, folder, "documents"))
+
+
+@query
+def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.statistics(table(spark, folder, "documents")).select("doc_id", *quality.STATISTICS[:5])
