@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import events, leaks, packing, pairs, quality, splitting, turns
+from parlance.llm import events, leaks, packing, pairs, pii, quality, splitting, turns
 from parlance.llm.limits import limit
 from parlance.operators.segments import milliseconds
 from parlance.sources.tables import table
@@ -103,3 +103,13 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.statistics(table(spark, folder, "documents")).select("doc_id", *quality.STATISTICS[:5])
+
+
+@query
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.found_types(table(spark, folder, "segments"), table(spark, folder, "chunk_index"), table(spark, folder, "known_names"))
+
+
+@query
+def p7_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.redacted_texts(table(spark, folder, "segments"), table(spark, folder, "chunk_index"), table(spark, folder, "known_names"))
