@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import events, leaks, packing, pairs, pii, quality, splitting, turns
+from parlance.llm import events, leaks, mixing, packing, pairs, pii, quality, splitting, turns
 from parlance.llm.limits import limit
 from parlance.operators.segments import milliseconds
 from parlance.sources.tables import table
@@ -113,3 +113,19 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p7_redacted(spark: SparkSession, folder: str) -> DataFrame:
     return pii.redacted_texts(table(spark, folder, "segments"), table(spark, folder, "chunk_index"), table(spark, folder, "known_names"))
+
+
+@query
+def p9_chosen(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents each plan takes, with their repeats."""
+    return mixing.replicated(table(spark, folder, "documents"), table(spark, folder, "mix_plans"))[0]
+
+
+@query
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.replicated(table(spark, folder, "documents"), table(spark, folder, "mix_plans"))[1]
+
+
+@query
+def p9_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.shuffled(mixing.replicated(table(spark, folder, "documents"), table(spark, folder, "mix_plans"))[0])
