@@ -116,7 +116,7 @@ def parsed_json(text: Column) -> Column:
 
 def redacted(command: Column, option: str = "--hf_token") -> Column:
     """The command with the value after the option replaced, whether joined by a space or an equals sign."""
-    return F.regexp_replace(command, rf"({re.escape(option)}[ =]+)[^ ]+", "$1***")
+    return F.regexp_replace(command, rf"({re.escape(option)}[ =]+)[^ ]+", "$1[REDACTED]")
 
 
 def template(text: str, **values: Column) -> Column:

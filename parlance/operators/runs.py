@@ -12,8 +12,8 @@ from parlance.operators.intervals import same_as_before
 from parlance.sources.shared import width, written
 
 INNER, HEAD, TAIL, WHOLE = range(4)
-FIELDS = ["part", "kind", "entity", "label", "first_pos", "last_pos", "n", "s", "last_e", "e", "weight"]
-SCHEMA = "part int, kind int, entity string, label string, first_pos bigint, last_pos bigint, n bigint, s double, last_e double, e double, weight bigint"
+FIELDS = ["part", "kind", "entity", "label", "first_pos", "last_pos", "n", "s", "last_e", "e", "weight", "text"]
+SCHEMA = "part int, kind int, entity string, label string, first_pos bigint, last_pos bigint, n bigint, s double, last_e double, e double, weight bigint, text string"
 
 
 def local_runs(batch: pa.RecordBatch, max_gap: float) -> dict:
@@ -23,9 +23,11 @@ def local_runs(batch: pa.RecordBatch, max_gap: float) -> dict:
     at = np.concatenate([[0], np.flatnonzero(breaks) + 1])
     last = np.append(at[1:], len(s)) - 1
     take = lambda c, i: batch.column(c).take(pa.array(i)).to_pylist()
+    texts = batch.column("text").to_pylist() if "text" in batch.schema.names else None
+    joined = [None] * len(at) if texts is None else [" ".join(t for t in texts[a : b + 1] if t is not None) for a, b in zip(at.tolist(), last.tolist())]
     return {
         "entity": take("entity", at), "label": take("label", at), "first_pos": take("pos", at), "last_pos": take("pos", last), "n": (last - at + 1).tolist(),
-        "s": s[at].tolist(), "last_e": e[last].tolist(), "e": np.maximum.reduceat(e, at).tolist(), "weight": np.add.reduceat(w, at).tolist(),
+        "s": s[at].tolist(), "last_e": e[last].tolist(), "e": np.maximum.reduceat(e, at).tolist(), "weight": np.add.reduceat(w, at).tolist(), "text": joined,
     }
 
 
@@ -39,7 +41,7 @@ def encoder(max_gap: float):
 
         def out(rows: list[tuple], kinds: list[int]) -> pa.RecordBatch:
             cols = list(zip(*rows))
-            types = [pa.string(), pa.string(), *[pa.int64()] * 3, *[pa.float64()] * 3, pa.int64()]
+            types = [pa.string(), pa.string(), *[pa.int64()] * 3, *[pa.float64()] * 3, pa.int64(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array([part] * len(rows), pa.int32()), pa.array(kinds, pa.int32()), *(pa.array(c, t) for c, t in zip(cols, types))], names=FIELDS)
 
         for batch in batches:
@@ -67,27 +69,28 @@ def follows(a: tuple, b: tuple, max_gap: float) -> bool:
 
 def combined(a: tuple, b: tuple) -> tuple:
     """The associative sum of two neighbouring summaries of one run."""
-    return (*a[:3], b[3], a[4] + b[4], a[5], b[6], max(a[7], b[7]), a[8] + b[8])
+    return (*a[:3], b[3], a[4] + b[4], a[5], b[6], max(a[7], b[7]), a[8] + b[8], b[9] if a[9] is None else f"{a[9]} {b[9]}")
 
 
 def merged_runs(rows: DataFrame, max_gap: float) -> DataFrame:
     """Longest runs of rows that follow each other within an entity, have one label, and of which each starts
     at most max_gap after the end of the one before.
 
-    rows: (entity, label, pos, s, e, weight), s and e without nulls; null entities and labels are keys of
-    their own. Gives (entity, label, first_pos, last_pos, n, s, last_e, e, weight): last_e is the end of the last
-    row, e the latest; no rows for none. Rows with equal s and pos come in order of e, label and weight.
+    rows: (entity, label, pos, s, e, weight) and perhaps text, s and e without nulls; null entities and labels are keys of
+    their own. Gives (entity, label, first_pos, last_pos, n, s, last_e, e, weight, text): last_e is the end of the last
+    row, e the latest, text the texts joined by blanks; no rows for none. Rows with equal s and pos come in order of e, label and weight.
 
     Rows are range-sorted by entity, s and pos, so a long entity spreads over many ranges. Each range encodes
     its runs; its first and last, two rows a range at most, are merged with their neighbours'.
     """
     order = ["entity", "s", "pos", "e", "label", "weight"]
-    ranges = rows.select("entity", "label", "pos", "s", "e", F.col("weight").cast("bigint").alias("weight")).repartitionByRange(width(rows.sparkSession), *order).sortWithinPartitions(*order)
+    told = ["text"] if "text" in rows.columns else []
+    ranges = rows.select("entity", "label", "pos", "s", "e", F.col("weight").cast("bigint").alias("weight"), *told).repartitionByRange(width(rows.sparkSession), *order).sortWithinPartitions(*order)
     found = written(ranges.mapInArrow(encoder(max_gap), SCHEMA), "runs")
     w = Window.partitionBy("entity").orderBy("part", "kind")
     edges = found.where(F.col("kind") != INNER)
     joins = F.col("label").eqNullSafe(F.lag("label").over(w)) & (F.lag("part").over(w) < F.col("part")) & (F.col("s") - F.lag("last_e").over(w) <= max_gap)
     edges = edges.withColumn("g", F.when(joins, 0).otherwise(1)).withColumn("g", F.sum("g").over(w)).withColumn("at", F.struct("part", "kind"))
-    across = edges.groupBy("entity", "g").agg(F.first("label").alias("label"), F.min_by("first_pos", "at").alias("first_pos"), F.max_by("last_pos", "at").alias("last_pos"), F.sum("n").alias("n"), F.min_by("s", "at").alias("s"), F.max_by("last_e", "at").alias("last_e"), F.max("e").alias("e"), F.sum("weight").alias("weight"))
+    across = edges.groupBy("entity", "g").agg(F.first("label").alias("label"), F.min_by("first_pos", "at").alias("first_pos"), F.max_by("last_pos", "at").alias("last_pos"), F.sum("n").alias("n"), F.min_by("s", "at").alias("s"), F.max_by("last_e", "at").alias("last_e"), F.max("e").alias("e"), F.sum("weight").alias("weight"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text"))
     names = FIELDS[2:]
     return found.where(F.col("kind") == INNER).select(*names).unionByName(across.select(*names))
