@@ -169,7 +169,7 @@ def labelled(given: list[str], family: list[str], rounds: int = 12, seed: int =
 
 
 @functools.lru_cache(maxsize=4)
-def train(given: tuple[str, ...], family: tuple[str, ...], rounds: int = 24, steps: int = 150, penalty: float = 1e-4) -> Model:
+def train(given: tuple[str, ...], family: tuple[str, ...], rounds: int = 24, steps: int = 110, penalty: float = 1e-4) -> Model:
     """Maximum likelihood with a quadratic penalty, by Adam over the whole table; forward and backward sums in
     batches of equal length. The table bounds the training: rounds times its rows."""
     data = sorted(labelled(list(given), list(family), rounds), key=lambda x: len(x[0]))
@@ -260,6 +260,8 @@ def plausible(label: int, tokens: list[str]) -> bool:
 
 def passages(labels: np.ndarray) -> list[tuple[int, int, int]]:
     """(begin, end, label) of the runs of one label other than `other`."""
+    if not len(labels):
+        return []
     change = np.flatnonzero(np.diff(labels)) + 1
     cuts = np.concatenate([[0], change, [len(labels)]])
     kinds = labels[cuts[:-1]]
@@ -268,10 +270,10 @@ def passages(labels: np.ndarray) -> list[tuple[int, int, int]]:
 
 def marks(model: Model, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """Per text its passages, as numbers of tokens."""
-    joined = f" {BORDER} ".join(t.replace(BORDER, " ") for t in texts)
+    joined = f" {BORDER} ".join(["", *(t.replace(BORDER, " ") for t in texts), ""])
     tokens = TOKEN.findall(joined)
     labels = model.decode(tokens)
-    begins = np.array([0, *(i + 1 for i, t in enumerate(tokens) if t == BORDER)])
+    begins = np.array([i + 1 for i, t in enumerate(tokens) if t == BORDER])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for a, b, k in passages(labels):
         if plausible(k, tokens[a:b]):

@@ -264,18 +264,20 @@ class Filler:
         return "".join(str(self.r.randint(0, 9)) if c == "#" else c for c in form)
 
     def syllables(self, low: int = 2) -> str:
-        return "".join(self.r.choice(["bel", "cor", "dun", "gri", "hes", "kar", "lin", "mol", "nor", "pel", "que", "sar", "tam", "ven", "wex", "ys", "zel", "ol", "tres", "far"]) for _ in range(self.r.randint(low, 3))).capitalize()
+        """A made-up word of so many syllables or three, of any letters, so that no ending stands out."""
+        part = lambda: self.r.choice("bcdfghklmnprstvwz") + self.r.choice("aeiou") + self.r.choice(["", "", "l", "n", "r", "s", "m", "t", "x", "ck", "nd", "st"])
+        return "".join(part() for _ in range(self.r.randint(low, 3))).capitalize()
 
     def given_(self) -> str:
         g = self.given_name()
         return g.upper() if self.r.random() < 0.05 else g
 
     def given_name(self) -> str:
-        return self.r.choice(self.given) if self.r.random() < 0.7 else self.syllables()
+        return self.r.choice(self.given) if self.r.random() < 0.6 else self.syllables()
 
     def family_name(self) -> str:
         x = self.r.random()
-        return self.r.choice(self.family) if x < 0.6 else self.syllables(1) + self.r.choice(self.family)[-4:] if x < 0.85 else self.syllables()
+        return self.r.choice(self.family) if x < 0.5 else self.syllables(1) + self.r.choice(self.family)[-4:] if x < 0.7 else self.syllables()
 
     def name(self) -> str:
         g, f, x = self.given_name(), self.family_name(), self.r.random()
