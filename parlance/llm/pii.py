@@ -92,15 +92,20 @@ class Model:
         get, number = self.cache.get, self.number
         ids = np.array([i if (i := get(t)) is not None else number(t) for t in tokens], np.int64)
         scores = np.zeros((len(ids), len(LABELS)), np.float32)
+        border = ids == number(BORDER)
         for d in range(-REACH, REACH + 1):
-            # the vector of distance d holds what a token says of the one d places after it
+            # the vector of distance d holds what a token says of the one d places after it, unless a border
+            # lies between
             part = self.vectors[:, d + REACH]
-            if d > 0:
-                scores[d:] += part[ids[:-d]]
-            elif d < 0:
-                scores[:d] += part[ids[-d:]]
-            else:
-                scores += part[ids]
+            n = len(ids) - abs(d)
+            if n <= 0:
+                continue
+            source = slice(0, n) if d > 0 else slice(-d, None)
+            target = slice(d, None) if d > 0 else slice(0, n)
+            said = part[ids[source]]
+            for k in range(1, abs(d)):
+                said[border[k : k + n]] = 0
+            scores[target] += said
         return scores
 
     def decode(self, tokens: list[str]) -> np.ndarray:
