@@ -42,11 +42,13 @@ def pieces(turns: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     Each piece keeps the speaker and the times of its whole turn. White space inside pieces is single blanks;
     turns that aren't cut stay as they are, as piece 0.
     """
-    words = tokens(F.col("text"))
     step = config.target_words
-    cut = F.transform(F.sequence(F.lit(0), F.size(words) - 1, F.lit(step)), lambda i: F.array_join(F.slice(words, i + 1, step), " "))
-    parts = F.when(F.size(words) > config.max_words, cut).otherwise(F.array("text"))
-    out = turns.select(*[c for c in turns.columns if c != "text"], F.posexplode(parts).alias("piece_no", "text"))
+    # tokens are made only of texts that are long enough, and once: a token and its blank take two characters
+    long = F.length("text") >= 2 * config.max_words + 1
+    cut = F.transform(F.sequence(F.lit(0), F.size("_words") - 1, F.lit(step)), lambda i: F.array_join(F.slice("_words", i + 1, step), " "))
+    parts = F.when(F.size("_words") > config.max_words, cut).otherwise(F.array("text"))
+    told = turns.withColumn("_words", F.when(long, tokens(F.col("text"))))
+    out = told.select(*[c for c in turns.columns if c != "text"], F.posexplode(parts).alias("piece_no", "text"))
     return out.withColumn("piece_no", F.col("piece_no").cast("bigint")).withColumn("n_words", count_words(F.col("text")))
 
 
