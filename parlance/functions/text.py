@@ -15,8 +15,9 @@ WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u
 #: The same as a class of Java's regular expressions.
 WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NOT_WS = "[^" + WS[1:]
-#: A stretch without white space that holds a letter, a digit or an underscore.
-WORD = rf"{NOT_WS}*[\p{{L}}\p{{N}}_]{NOT_WS}*"
+#: What a stretch without white space has from its first letter, digit or underscore on: one match a word, and
+#: nothing to go back on.
+WORD = rf"[\p{{L}}\p{{N}}_]{NOT_WS}*"
 
 
 def spaced(text: Column) -> Column:
