@@ -36,7 +36,8 @@ OPENING = rf"(?i)^(?:\s*(?:{_NOISE}|{_OPENING_TIME}|{_LABEL}))+"
 #: The same up to the first label; one of its three groups is the number.
 OPENING_LABEL = rf"(?i)^(?:\s*(?:{_NOISE}|{_OPENING_TIME}))*\s*{_LABEL}"
 NOISE = rf"(?i){_NOISE}"
-WORDS = r"\S*[\p{L}\p{N}_]\S*"
+#: A word from its first letter, digit or underscore on; nothing to go back on.
+WORDS = r"[\p{L}\p{N}_]\S*"
 _SPOKEN = {k: v.replace(" ", r"\s+") for k, v in PHRASES.items()}
 #: Wants doubled spaces, as a hesitation may follow another; keeps a comma, which may set off a phrase.
 HESITATION = {k: rf"(?i)(^|\s)[\"'(…-]*(?:{v})[.…!?;:-]*(,?)[.…]*(\s|$)" for k, v in HESITATIONS.items()}
