@@ -76,20 +76,21 @@ def sweep(batches):
     yield out(SUM, [1 if alone else 0], one("entity"), one("label"), t[:1], t[-1:], 0, int(total[-1]), low)
 
 
-def periods_and_gaps(intervals: DataFrame, entity: str, label: str, start: str, end: str) -> DataFrame:
+def periods_and_gaps(intervals: DataFrame, entity: str, label: str, start: str, end: str, tie: str | None = None) -> DataFrame:
     """(entity, label, kind, s, e, n): every longest stretch covered without silence, with its number of
     intervals n, and every gap between neighbouring stretches of one entity and label (n 0).
 
     Intervals that touch are one stretch. Rows with a null, NaN or non-positive extent must be filtered out
-    before. Null entities and labels are keys of their own. Empty input gives no rows.
+    before. Null entities and labels are keys of their own. Empty input gives no rows. tie names a column that
+    tells intervals of equal times apart, so that any number of these may be split over ranges too.
 
     Sweep line: each interval becomes a plus and a minus event, the events are range-sorted by key and time,
     and counts are prefix sums: within each range by numpy, over the ranges by a sum of one row per range. A
     key's events may fill any number of ranges, so no key has to fit a task.
     """
     spark = intervals.sparkSession
-    events = intervals.select(F.col(entity).alias("entity"), F.col(label).alias("label"), F.explode(F.array(F.struct(F.col(start).cast("double").alias("t"), F.lit(1).cast("tinyint").alias("d")), F.struct(F.col(end).cast("double").alias("t"), F.lit(-1).cast("tinyint").alias("d")))).alias("x")).select("entity", "label", "x.t", "x.d")
-    order = [F.col("entity"), F.col("label"), F.col("t"), F.col("d").desc()]
+    events = intervals.select(F.col(entity).alias("entity"), F.col(label).alias("label"), F.explode(F.array(F.struct(F.col(start).cast("double").alias("t"), F.lit(1).cast("tinyint").alias("d")), F.struct(F.col(end).cast("double").alias("t"), F.lit(-1).cast("tinyint").alias("d")))).alias("x"), *([F.col(tie).alias("tie")] if tie else [])).select("entity", "label", "x.t", "x.d", *(["tie"] if tie else []))
+    order = [F.col("entity"), F.col("label"), F.col("t"), F.col("d").desc(), *([F.col("tie")] if tie else [])]
     ranges = events.repartitionByRange(width(spark), *order).sortWithinPartitions(*order)
     found = written(ranges.mapInArrow(sweep, SCHEMA), "stretches")
 
@@ -115,7 +116,7 @@ def speaker_periods(segments: DataFrame) -> DataFrame:
     from parlance.operators.segments import delivered_once, stored_label, usable
 
     once = delivered_once(segments, F.col("start_s"), F.col("end_s"), stored_label(F.col("speaker")).alias("label"))
-    return periods_and_gaps(once.where(usable()), "session_id", "label", "start_s", "end_s")
+    return periods_and_gaps(once.where(usable()), "session_id", "label", "start_s", "end_s", tie="pos")
 
 
 def found_periods(segments: DataFrame, max_gap_s: float = 600.0) -> DataFrame:

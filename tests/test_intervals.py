@@ -52,7 +52,7 @@ def test_one_long_interval_over_many_ranges(spark):
 
 def test_found_and_edges(spark):
     data = [(1, "s", 1, 0.0, 1.0, "A", None), (2, "s", 2, 1.0, 2.0, "A", None), (3, "s", 3, 602.0, 603.0, "A", None), (4, "s", 4, 1204.0, 1205.0, "A", None), (5, "s", 4, 2.0, 700.0, "A", None)]
-    got = rows(found_periods(spark.createDataFrame(data, SEGMENTS + "").withColumnsRenamed({})))
+    got = rows(found_periods(spark.createDataFrame(data, SEGMENTS)))
     assert got == [("s", "A", "gap", 2000, 602000), ("s", "A", "period", 0, 2000)]
     assert rows(found_periods(spark.createDataFrame([], SEGMENTS))) == []
 
@@ -60,3 +60,8 @@ def test_found_and_edges(spark):
 def test_clashing_columns(spark):
     d = spark.createDataFrame([(1, "s", 1, 0.0, 1.0, None, None, "z", 1)], SEGMENTS + ", label string, part int")
     assert rows(speaker_periods(d)) == [("s", "UNKNOWN", "period", 0.0, 1.0, 1)]
+
+
+def test_ties_over_many_ranges(spark):
+    data = [(i, "s", i, 1.0, 2.0, "A", "x") for i in range(500)] + [(i, "s", i, 2.0, 3.0, "A", "x") for i in range(500, 900)]
+    assert rows(speaker_periods(spark.createDataFrame(data, SEGMENTS))) == [("s", "A", "period", 1.0, 3.0, 900)]
