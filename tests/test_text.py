@@ -10,7 +10,7 @@ def value(spark, make, **given):
     return d.select(make(*[F.col(k) for k in given])).first()[0]
 
 
-@pytest.mark.parametrize(("t", "n"), [("foo--bar, (baz)!", 2), ("--", 0), ("don't stop", 2), ("[SPEAKER_00] hi", 2), ("a b c\u0085d", 4), ("½ ² _", 3), ("", 0), (None, 0)])
+@pytest.mark.parametrize(("t", "n"), [("foo--bar, (baz)!", 2), ("--", 0), ("don't stop", 2), ("[SPEAKER_00] hi", 2), ("a\u00a0b\u2003c\u0085d", 4), ("½ ² _", 3), ("", 0), (None, 0)])
 def test_count_words(spark, t, n):
     assert value(spark, X.count_words, t=t) == n
 
@@ -46,7 +46,7 @@ def test_paths_urls_json_and_secrets(spark):
     assert value(spark, X.parsed_json, j='{"a": 1}') == '{"a": 1}'
     assert value(spark, X.parsed_json, j="{broken") == '{"raw":"{broken"}'
     assert value(spark, X.redacted, c="run --hf_token abc --x 1") == "run --hf_token [REDACTED] --x 1"
-    assert value(spark, X.strip, t="  a b\x85") == "a b"
+    assert value(spark, X.strip, t="\u2003 a b\x85") == "a b"
 
 
 def test_configuration():

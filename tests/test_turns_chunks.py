@@ -31,7 +31,7 @@ def test_end_is_that_of_the_last_segment(spark):
 
 
 def test_blank_segments_break_nothing(spark):
-    assert len(merged(spark, ("A", 0, 1, "a"), ("B", 1, 2, "  "), ("A", 2, 3, "b"))) == 1
+    assert len(merged(spark, ("A", 0, 1, "a"), ("B", 1, 2, " \u2003"), ("A", 2, 3, "b"))) == 1
 
 
 def test_speaker_defaults(spark):
