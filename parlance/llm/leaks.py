@@ -21,6 +21,8 @@ BAND = 32
 #: Regions with edits are kept from this length on.
 LEAST_BYTES = 128
 SLICE = 1 << 22
+#: Hits of one text that are spread out over their items at a time.
+HITS = 200_000
 NOT_WORD = re.compile(r"[\W_]+")
 REGION = "doc_id bigint, item_id bigint, n_words bigint, n_chars bigint, n_edits bigint, item_share double"
 
@@ -114,22 +116,34 @@ def candidates(index: Index, texts: list[str], least: int) -> dict[tuple[int, in
     of = np.searchsorted(ends, at, side="right")
     local = at - np.concatenate([[0], ends])[of]
     out: dict[tuple[int, int], dict[int, int]] = {}
-    # one text after the other, so that what is spread out at a time is the hits of one text
+    # one text after the other, and long ones in slices that overlap by what a region can fill, so that what is
+    # spread out at a time is bounded
     cut = np.flatnonzero(np.diff(of)) + 1
-    for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(of))):
-        if b - a < least:
-            continue
-        n = index.first[which[a:b] + 1] - index.first[which[a:b]]
-        occurrence = np.repeat(index.first[which[a:b]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        item = index.items[occurrence]
-        band = (np.repeat(local[a:b], n) - index.places[occurrence] + (1 << 40)) // BAND
-        key = np.concatenate([(item << np.int64(36)) + band, (item << np.int64(36)) + band - 1])
-        unique, count = np.unique(key, return_counts=True)
-        for k, c in zip(unique[count >= least].tolist(), count[count >= least].tolist()):
-            out.setdefault((int(of[a]), k >> 36), {})[k & ((1 << 36) - 1)] = c
+    for begin, end in zip(np.concatenate([[0], cut]).tolist(), np.append(cut, len(of)).tolist()):
+        a = begin
+        while end - a >= least:
+            b = min(end, a + HITS)
+            for (k, band), c in _bands(index, local[a:b], which[a:b], least).items():
+                known = out.setdefault((int(of[a]), k), {})
+                known[band] = max(known.get(band, 0), c)
+            if b == end:
+                break
+            a = max(a + 1, int(np.searchsorted(local[begin:end], local[b - 1] - reach)) + begin)
     return out
 
 
+def _bands(index: Index, places: np.ndarray, which: np.ndarray, least: int) -> dict[tuple[int, int], int]:
+    """For the hits of one text the items and bands with at least `least` of them, and how many."""
+    n = index.first[which + 1] - index.first[which]
+    occurrence = np.repeat(index.first[which] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    item = index.items[occurrence]
+    band = (np.repeat(places, n) - index.places[occurrence] + (1 << 40)) // BAND
+    key = np.concatenate([(item << np.int64(36)) + band, (item << np.int64(36)) + band - 1])
+    unique, count = np.unique(key, return_counts=True)
+    kept = count >= least
+    return {(k >> 36, k & ((1 << 36) - 1)): c for k, c in zip(unique[kept].tolist(), count[kept].tolist())}
+
+
 def aligned(texts: list[bytes], items: list[bytes], lows: list[int]) -> list[tuple[int, int]]:
     """(length, edits) of the best local alignment of each item and text within the band [low, low + 2 BAND).
 

@@ -57,6 +57,15 @@ def test_small_edits_are_regions(spark):
     assert got[0].n_chars > 250 and got[0].n_edits <= 8
 
 
+def test_slices_lose_nothing(monkeypatch):
+    docs, items = corpus(3)
+    index = leaks.Index([i for i, _ in items], [leaks.normalized(t) for _, t in items], 12)
+    text = leaks.normalized(" zz ".join(t for _, t in docs))
+    whole = leaks.candidates(index, [text], 16)
+    monkeypatch.setattr(leaks, "HITS", 1500)
+    assert set(leaks.candidates(index, [text], 16)) == set(whole) and whole
+
+
 def test_windows_and_alignment():
     data = np.frombuffer(b"abcdefghij", np.uint8)
     assert [int(x).to_bytes(8, "little") for x in leaks.windows(data)] == [b"abcdefgh", b"bcdefghi", b"cdefghij"]

@@ -38,7 +38,7 @@ def test_sums_make_the_mixture(spark):
 
 def test_edges(spark):
     assert rows(quality.found_classes(spark.createDataFrame([], DOCS))) == []
-    d = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, "word " * 200_000), (4, "word " * 200_000), (None, " "), (5, "We said on Monday that it is fine, and so we keep it.")], DOCS)
+    d = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, "word " * 200_000), (4, "word " * 200_000), (None, "\u00a0"), (5, "We said on Monday that it is fine, and so we keep it.")], DOCS)
     got = rows(quality.classified(d.selectExpr("*", "1 AS n_words", "'x' AS source")).select("doc_id", "doc_class"))
     assert got == [(4, "junk"), (4, "junk"), (5, "prose")]
     assert quality.statistics(d).count() == 7
