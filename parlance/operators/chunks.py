@@ -177,7 +177,8 @@ def records(chunk_rows: DataFrame) -> DataFrame:
 
 
 def markdown(chunk_rows: DataFrame) -> DataFrame:
-    """(session_id, chunk_id, content): a heading with times, speakers and type, and a section per piece."""
+    """(session_id, chunk_id, content): a heading with times, speakers and type, and a section per piece. The
+    headings are fixed values of the format."""
     d = _listed(chunk_rows).withColumn("speakers", F.array_sort(F.array_distinct(F.transform("t", lambda x: x["speaker"]))))
     kind = F.when(F.size("speakers") == 1, "single_speaker").otherwise("discussion")
     span = lambda a, b: F.concat(clock(a), F.lit(" → "), clock(b))

@@ -4,24 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parlance.operators.scans import same_as_before
 from parlance.sources.shared import width, written
 
 INNER, HEAD, TAIL, WHOLE, GAP, SUM = range(6)
 SCHEMA = "part int, kind int, sure int, entity string, label string, s double, e double, n bigint, net bigint, low bigint"
 
 
-def same_as_before(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """For each row but the first, whether its value equals the one before; two nulls are equal."""
-    now, before = column.slice(1), column.slice(0, max(0, len(column) - 1))
-    both_null = pc.and_(pc.is_null(now), pc.is_null(before))
-    return np.asarray(pc.or_(both_null, pc.fill_null(pc.equal(now, before), False)))
-
-
 def sweep(batches):
     """Sums the events of one sorted range and gives its stretches.
 

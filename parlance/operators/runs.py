@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.operators.intervals import same_as_before
+from parlance.operators.scans import same_as_before
 from parlance.sources.shared import width, written
 
 INNER, HEAD, TAIL, WHOLE = range(4)

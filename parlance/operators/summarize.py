@@ -15,7 +15,7 @@ from parlance.config import ModelConfig
 from parlance.functions.text import padded_id, rstrip, template
 from parlance.sources.shared import written
 
-#: Outputs of a profile in order, each with its template; texts of our own.
+#: The names of the outputs of each profile, in order. The templates are our own.
 PROFILES: dict[str, list[tuple[str, str]]] = {
     "meeting": [("summary.md", "Give the meeting a title, an overview and its main points.\n\n{chunk_summaries}"), ("action-items.md", "List who has to do what, one line each.\n\n{chunk_summaries}"), ("minutes-draft.md", "Draft minutes of the meeting.\n\n{chunk_summaries}")],
     "lesson": [("lesson-notes.md", "Write notes of the lesson.\n\n{chunk_summaries}"), ("flashcards.md", "Make question and answer cards.\n\n{chunk_summaries}"), ("quiz.md", "Make a quiz with its key.\n\n{chunk_summaries}"), ("review-sheet.md", "Make a sheet for review.\n\n{chunk_summaries}")],
@@ -79,7 +79,7 @@ def map_stage(records: DataFrame, model: Callable[[], Summarizer], calls: int |
 
 
 def block() -> Column:
-    """What the reduce stage reads of one chunk."""
+    """What the reduce stage reads of one chunk; its headings are fixed values of the format."""
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return F.concat(F.lit("# Chunk "), value("chunk_id"), F.lit("\n- File: "), value("file_name"), F.lit("\n- Time range: "), value("start_time"), F.lit(" to "), value("end_time"), F.lit("\n- Speaker span: "), value("speaker_span"), F.lit("\n\n"), value("summary"))
 
@@ -95,18 +95,20 @@ def reduce_input(summaries: DataFrame) -> DataFrame:
     return blocks.groupBy("session_id").agg(F.count(F.lit(1)).alias("n_chunks"), F.array_join(F.transform(listed, lambda x: x["block"]), "\n\n").alias("combined"))
 
 
-def reduce_prompts(combined: DataFrame, profile: str) -> DataFrame:
-    """(session_id, profile, ord, output_name, prompt): every session with every output of the profile."""
-    if profile not in PROFILES:
-        raise ValueError(f"no profile {profile}; there are {', '.join(sorted(PROFILES))}")
-    outputs = [F.struct(F.lit(i).cast("bigint").alias("ord"), F.lit(name).alias("output_name"), template(text, chunk_summaries=F.col("combined")).alias("prompt")) for i, (name, text) in enumerate(PROFILES[profile], 1)]
+def reduce_prompts(combined: DataFrame, profile: str, profiles: dict[str, list[tuple[str, str]]] | None = None) -> DataFrame:
+    """(session_id, profile, ord, output_name, prompt): every session with every output of the profile, whose
+    templates are those of PROFILES if none are given."""
+    profiles = PROFILES if profiles is None else profiles
+    if profile not in profiles:
+        raise ValueError(f"no profile {profile}; there are {', '.join(sorted(profiles))}")
+    outputs = [F.struct(F.lit(i).cast("bigint").alias("ord"), F.lit(name).alias("output_name"), template(text, chunk_summaries=F.col("combined")).alias("prompt")) for i, (name, text) in enumerate(profiles[profile], 1)]
     return combined.select("session_id", F.lit(profile).alias("profile"), F.explode(F.array(*outputs)).alias("o")).select("session_id", "profile", "o.ord", "o.output_name", "o.prompt")
 
 
-def reduce_stage(summaries: DataFrame, profile: str, model: Callable[[], Summarizer], calls: int | None = None) -> DataFrame:
+def reduce_stage(summaries: DataFrame, profile: str, model: Callable[[], Summarizer], calls: int | None = None, profiles: dict[str, list[tuple[str, str]]] | None = None) -> DataFrame:
     """(session_id, profile, ord, output_name, content): one call per session and output; contents end with one
     line end."""
-    found = answered(reduce_prompts(reduce_input(summaries), profile), "prompt", "content", model, calls)
+    found = answered(reduce_prompts(reduce_input(summaries), profile, profiles), "prompt", "content", model, calls)
     return found.select("session_id", "profile", "ord", "output_name", F.concat(rstrip(F.col("content")), F.lit("\n")).alias("content"))
 
 

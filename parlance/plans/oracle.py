@@ -98,6 +98,7 @@ SELECT session_id, speaker, 'gap', CAST(round(e * 1000) AS BIGINT), CAST(round(n
     "newest_file": "SELECT DISTINCT file_name, end_time AS end_s FROM chunk_index WHERE end_time IS NOT NULL ORDER BY end_s DESC, file_name DESC NULLS LAST LIMIT 1",
     "file_parts": "SELECT DISTINCT session_id, chunk_id, file_name AS base, regexp_replace(file_name, '\\.[^.]*$', '') AS stem, '/data/out/' || regexp_replace(file_name, '\\.[^.]*$', '') || '.metadata.json' AS sidecar FROM chunk_index WHERE file_name IS NOT NULL",
     "url_trimmed": "SELECT log_id, regexp_replace(url, '/+$', '') AS url FROM sessions",
+    "session_extra": "SELECT log_id, CASE WHEN extra IS NULL OR json_valid(extra) THEN extra ELSE CAST(json_object('raw', extra) AS VARCHAR) END AS extra FROM sessions",
     "redacted_command": "SELECT log_id, 'transcribe --hf_token [REDACTED] --language en ' || coalesce(url, '') AS command FROM sessions WHERE session_id IS NOT NULL UNION ALL SELECT log_id, NULL FROM sessions WHERE session_id IS NULL",
     "status_outcome": f"WITH l AS (SELECT session_id FROM {_LATEST}), m AS (SELECT session_id, count(DISTINCT chunk_id) AS n FROM chunk_index GROUP BY 1), x AS (SELECT l.session_id, l.session_id IN (SELECT session_id FROM segments WHERE session_id IS NOT NULL) AS t, m.n, l.session_id IN (SELECT session_id FROM chunk_summaries WHERE session_id IS NOT NULL) AS s FROM l LEFT JOIN m USING (session_id)) SELECT session_id, coalesce(n, 0) AS n_chunks, CASE WHEN NOT t THEN 'no_transcript' WHEN coalesce(n, 0) > 0 AND NOT s THEN 'failed' WHEN coalesce(n, 0) = 0 THEN 'no_speech' ELSE 'yes' END AS outcome, CASE WHEN NOT s THEN 'no' WHEN NOT t THEN 'skipped' WHEN n IS NOT NULL THEN 'yes' ELSE 'already missing' END AS deleted FROM x",
     "prompt_render": f"SELECT session_id, chunk_id, {_PROMPT} AS prompt FROM (SELECT DISTINCT * FROM chunk_index)",

@@ -160,6 +160,10 @@ def url_trimmed(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "sessions").select("log_id", text.trim_slashes(F.concat("url", F.lit("//"))).alias("url"))
 
 
+def session_extra(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "sessions").select("log_id", text.parsed_json(F.col("extra")).alias("extra"))
+
+
 def redacted_command(spark: SparkSession, folder: str) -> DataFrame:
     command = F.concat(F.lit("transcribe --hf_token "), F.md5("session_id"), F.lit(" --language en "), F.coalesce("url", F.lit("")))
     return table(spark, folder, "sessions").select("log_id", text.redacted(command).alias("command"))
@@ -199,7 +203,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         p1_found, p1_timeline, segments_normalized, word_count, format_timestamp, turns_merged, oversized_split, speaker_transcript, chunk_assign, tail_merge,
         chunk_records, speaker_span, chunk_markdown, chunk_manifest, session_slug, session_id, session_latest, session_current, session_conflicts, session_stops,
-        session_changes, metadata_lookup, metadata_artefacts, latest_recording, newest_file, file_parts, url_trimmed, redacted_command, status_outcome,
+        session_changes, metadata_lookup, metadata_artefacts, latest_recording, newest_file, file_parts, url_trimmed, session_extra, redacted_command, status_outcome,
         prompt_render, map_summaries, reduce_input, reduce_outputs,
     )
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parlance.config import ChunkConfig
 from parlance.operators import chunks
 from parlance.sources import sinks, transcripts
+from parlance.sources.templates import read_profile
 from parlance.streaming.arrivals import chunk_arrivals, latest_states
 from tests.conftest import rows
 
@@ -66,3 +67,13 @@ def test_latest_states_as_stream(spark, tmp_path):
     q = latest_states(spark.readStream.schema(log.schema).parquet(str(tmp_path / "log"))).writeStream.outputMode("complete").format("memory").queryName("states").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r.session_id: r.state for r in spark.table("states").collect()} == {"a": "recording", "b": "starting"}
+
+
+def test_templates(tmp_path):
+    (tmp_path / "notes.txt").write_text("Write: {chunk_summaries}", encoding="utf-8")
+    (tmp_path / "quiz.txt").write_text("Ask.", encoding="utf-8")
+    assert read_profile(str(tmp_path), ["notes.md"]) == [("notes.md", "Write: {chunk_summaries}")]
+    with pytest.raises(ValueError):
+        read_profile(str(tmp_path), ["quiz.md"])
+    with pytest.raises(FileNotFoundError):
+        read_profile(str(tmp_path), ["cards.md"])

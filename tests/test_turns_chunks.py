@@ -146,3 +146,13 @@ def test_scans(spark):
     for i in range(500):
         last = i if i % 37 == 5 else last
         assert got[i] == last
+
+
+def test_numbers_over_batches_and_ranges(spark):
+    data = [(e, i) for e, n in ((None, 7), ("a", 1), ("hot", 900), ("z", 30)) for i in range(n)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+    try:
+        got = numbered_within(spark.createDataFrame(data, "e string, i bigint").repartition(3), "e", ["e", "i"], "n").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(data) and all(r.n == r.i + 1 for r in got)
