@@ -199,14 +199,16 @@ def shared_words(index: Index, text: str, wanted: set[int]) -> dict[int, int]:
     return n
 
 
-def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: float = 0.05, block_bytes: int = 8 << 20, align: bool = True) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: float = 0.05, block_bytes: int = 8 << 20, edited: bool = True) -> DataFrame:
     """(doc_id, item_id, n_words, n_chars, n_edits, item_share) for every document and item with a shared region.
 
-    A region is kept if it has a run of at least `words` equal words (n_words, else 0), or if the best
-    alignment within a band has at most max_error edits a byte over at least LEAST_BYTES bytes; n_chars, n_edits and
-    item_share describe that alignment (null with align=False, which keeps equal runs only). The filter loses
-    none of these: `words` words are at least 2 words - 1 bytes, so they share that many less Q - 1 q-grams on
-    one diagonal; a region of L bytes with e edits shares L + 1 - Q (e + 1).
+    Bands with enough shared q-grams are verified by alignment. A pair is kept if it has a run of at least
+    `words` equal words (n_words, else 0) and an alignment as long, or, unless edited is False, if the best
+    alignment within a band has at most max_error edits a byte over at least LEAST_BYTES bytes. n_chars,
+    n_edits and item_share describe the best alignment. The word check comes first where it is enough, since
+    it spares alignments that can't be kept. The filter loses nothing: `words` words are at least 2 words - 1
+    bytes, so they share that many less Q - 1 q-grams on one diagonal; L bytes with e edits share
+    L + 1 - Q (e + 1).
 
     Case and everything but letters and digits are ignored. Null or empty texts share nothing; rows with
     equal ids are taken together. Whole texts are searched, long ones in slices. Items are the query set: they
@@ -220,12 +222,12 @@ def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: fl
         rows = items.where(F.col("item_id").isNotNull() & (F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)).select("item_id", "text").collect()
         texts = [(r[0], normalized(r[1])) for r in rows]
         texts = [(i, t) for i, t in texts if t]
-        found = documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInPandas(_search(texts, words, max_error, least, align), REGION)
+        found = documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInPandas(_search(texts, words, max_error, least, edited), REGION)
         out = found if out is None else out.unionByName(found)
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("n_words", "n_chars", "n_edits", "item_share")])
 
 
-def _search(items: list[tuple[int, str]], words: int, max_error: float, least: int, align: bool):
+def _search(items: list[tuple[int, str]], words: int, max_error: float, least: int, edited: bool):
     def search(frames):
         index = Index([i for i, _ in items], [t for _, t in items], words) if items else None
         for frame in frames:
@@ -233,7 +235,7 @@ def _search(items: list[tuple[int, str]], words: int, max_error: float, least: i
             rows, a, size = [], 0, 0
             for b in range(len(ids) + 1):
                 if b == len(ids) or size > SLICE:
-                    rows += _regions(index, ids[a:b], [normalized(t) for t in raw[a:b]], words, max_error, least, align) if index else []
+                    rows += _regions(index, ids[a:b], [normalized(t) for t in raw[a:b]], words, max_error, least, edited) if index else []
                     a, size = b, 0
                 if b < len(ids):
                     size += len(raw[b])
@@ -242,25 +244,23 @@ def _search(items: list[tuple[int, str]], words: int, max_error: float, least: i
     return search
 
 
-def _regions(index: Index, ids: list[int], texts: list[str], words: int, max_error: float, least: int, align: bool) -> list[tuple]:
+def _regions(index: Index, ids: list[int], texts: list[str], words: int, max_error: float, least: int, edited: bool) -> list[tuple]:
     pairs = candidates(index, texts, least)
     by: dict[int, set[int]] = {}
     for d, k in pairs:
         by.setdefault(d, set()).add(k)
     exact = {(d, k): n for d, wanted in by.items() for k, n in shared_words(index, texts[d], wanted).items()}
-    if not align:
-        return [(ids[d], index.ids[k], n, None, None, None) for (d, k), n in exact.items()]
     bound = LEAST_BYTES + 1 - Q * (int(max_error * LEAST_BYTES) + 1)
-    todo = [(d, k, band) for (d, k), bands in pairs.items() for band, n in bands.items() if n >= bound or (d, k) in exact]
+    todo = [(d, k, band) for (d, k), bands in pairs.items() for band, n in bands.items() if (d, k) in exact or (edited and n >= bound)]
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for a in range(0, len(todo), 4096):
         part = todo[a : a + 4096]
         for (d, k, _), found in zip(part, aligned([texts[d].encode() for d, _, _ in part], [index.texts[k].encode() for _, k, _ in part], [(band << 5) - (1 << 40) for _, _, band in part])):
             best[d, k] = max(best.get((d, k), (0, 0)), found, key=lambda x: x[0] - 3 * x[1])
-    kept = {p for p, (n, e) in best.items() if n >= LEAST_BYTES and e <= max_error * n} | exact.keys()
+    kept = {p for p, (n, e) in best.items() if n >= 2 * words - 1 and p in exact or edited and n >= LEAST_BYTES and e <= max_error * n}
     return [(ids[d], index.ids[k], exact.get((d, k), 0), *best[d, k], best[d, k][0] / len(index.texts[k].encode())) for d, k in sorted(kept)]
 
 
 def found_leaks(documents: DataFrame, items: DataFrame, words: int = 12) -> DataFrame:
     """Documents with the items of which they have at least `words` consecutive words."""
-    return leaks(documents, items, words, align=False).where(F.col("n_words") >= words).select("doc_id", "item_id")
+    return leaks(documents, items, words, edited=False).where(F.col("n_words") >= words).select("doc_id", "item_id")

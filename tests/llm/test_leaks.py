@@ -38,7 +38,7 @@ def test_against_plain(spark):
 def test_shortest_words_and_blocks(spark):
     one = "a b c d e f g h i j k l"
     docs, items = [(1, "z " * 40 + one + " z" * 40), (2, one[:-2]), (3, None), (4, ""), (5, "long " * 300_000 + one)], [(1, one), (2, "other words " * 9), (3, None), (4, ""), (None, one), (6, one)]
-    make = lambda size: rows(leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), align=False, block_bytes=size).select("doc_id", "item_id"))
+    make = lambda size: rows(leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), edited=False, block_bytes=size).select("doc_id", "item_id"))
     assert make(1 << 20) == make(30) == [(1, 1), (1, 6), (5, 1), (5, 6)]
     assert rows(leaks.found_leaks(spark.createDataFrame([], DOCS), spark.createDataFrame(items, ITEMS))) == []
     assert rows(leaks.found_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([], ITEMS))) == []
