@@ -31,12 +31,12 @@ def _p4() -> str:
     white = "translate(coalesce(text, ''), " + " || ".join(f"chr({ord(c)})" for c in turns.WHITE) + ", " + _text(" " * len(turns.WHITE)) + ")"
     n = lambda x: f"len(regexp_extract_all({x}, {_text(turns.WORDS)}))"
     left = lambda k: f"regexp_replace(regexp_replace(regexp_replace(x, '\\s+', '  ', 'g'), {_text(turns.HESITATION[k])}, '\\1\\2\\3', 'g'), {_text(turns.PHRASE[k])}, ' ', 'g')"
-    votes = " ".join(f"WHEN regexp_matches(x, {_text(turns.VOTE[k])}) THEN '{k}'" for k in turns.LANGUAGES)
+    votes = " ".join(f"WHEN w IN ({', '.join(map(_text, v))}) THEN '{k}'" for k, v in turns.VOTES.items())
     words = " ".join(f"WHEN lang = '{k}' THEN {n(left(k))}" for k in turns.LANGUAGES[1:])
     digits = " || ".join(f"coalesce(regexp_extract(white, {_text(turns.OPENING_LABEL)}, {g}), '')" for g in (1, 2, 3))
     return f"""WITH once AS (SELECT session_id, pos, start_s, end_s, speaker, {white} AS white FROM segments QUALIFY row_number() OVER (PARTITION BY session_id, pos ORDER BY seg_id) = 1),
 s AS (SELECT *, regexp_replace(regexp_replace(white, {_text(turns.OPENING)}, ' '), {_text(turns.NOISE)}, ' ', 'g') AS x, {digits} AS opening FROM once WHERE end_s > start_s),
-v AS (SELECT session_id, CASE {votes} END AS vote FROM s),
+v AS (SELECT session_id, CASE {votes} END AS vote FROM (SELECT session_id, lower(regexp_extract(x, {_text(turns.VOTE)}, 1)) AS w FROM s)),
 c AS (SELECT session_id, vote, count(*) AS n FROM v WHERE vote IS NOT NULL GROUP BY ALL),
 lg AS (SELECT session_id, arg_max(vote, (n, vote)) AS lang FROM c GROUP BY session_id),
 rows_in AS (SELECT s.session_id, pos, start_s, end_s, CASE WHEN coalesce(speaker, '') = '' THEN CASE WHEN opening <> '' THEN 'SPEAKER_' || opening END ELSE speaker END AS label,

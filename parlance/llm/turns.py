@@ -44,7 +44,11 @@ HESITATION = {k: rf"(?i)(^|\s)[\"'(…-]*(?:{v})[.…!?;:-]*(,?)[.…]*(\s|$)" f
 PHRASE = {k: rf"(?i)(?:^|,)\s*(?:{v})\s*," for k, v in _SPOKEN.items()}
 #: Whether a text needs the replacements of any language.
 FILLERS = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join([*HESITATIONS.values(), *_SPOKEN.values()])})(?:$|[^\p{{L}}\p{{N}}])"
-VOTE = {k: rf"(?i)(?:^|[^\p{{L}}\p{{N}}])(?:{v})(?:$|[^\p{{L}}\p{{N}}])" for k, v in COMMON.items()}
+#: What a text of ASCII signs has in which OPENING or NOISE finds something, or white space other than blanks.
+NOTED = r"[\[({<*:>\t-\r\x1c-\x1f]|^ *[sS][pP]"
+#: The first common word of a text, its group 1; no word stands in two languages.
+VOTE = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])({'|'.join(COMMON.values())})(?:$|[^\p{{L}}\p{{N}}])"
+VOTES = {k: [w.replace("[áÁ]", "á") for w in v.split("|")] for k, v in COMMON.items()}
 
 
 def said(text: Column) -> Column:
@@ -65,43 +69,66 @@ def opening_label(text: Column) -> Column:
     return F.when(digits != "", F.concat(F.lit("SPEAKER_"), digits))
 
 
-def clean_text(text: Column, lang: Column) -> Column:
-    """The clean text, given its session's language (en where it is null or unknown)."""
-    x = said(text)
-    by = F.when(~x.rlike(FILLERS), x)
-    for k in LANGUAGES[1:]:
-        by = by.when(lang == k, without_fillers(x, k))
-    return F.trim(F.regexp_replace(by.otherwise(without_fillers(x, "en")), r"^[\s,]+|\s+(?:,\s+)?", " "))
+def clean_text(text: Column, lang: Column, already: bool = False) -> Column:
+    """The clean text, given its session's language (en where it is null or unknown); already: of what said() gave."""
+    x = text if already else said(text)
+    return F.trim(F.regexp_replace(F.when(x.rlike(FILLERS), by_language(x, lang)).otherwise(x), r"^[\s,]+|\s+(?:,\s+)?", " "))
 
 
 def vote(text: Column) -> Column:
-    """The first language of which the text has a common word; null for none."""
-    out = F.when(text.rlike(VOTE["en"]), "en")
-    for k in LANGUAGES[1:]:
-        out = out.when(text.rlike(VOTE[k]), k)
+    """The language of the first common word of a text; null for none."""
+    word = F.lower(F.regexp_extract(text, VOTE, 1))
+    out = F.when(word == "", None)
+    for k, words in VOTES.items():
+        out = out.when(word.isin(words), k)
     return out
 
 
 def session_languages(rows: DataFrame, by: str = "vote") -> DataFrame:
-    """(session_id, lang): the language most rows of the session vote for, the first by name of equals."""
+    """(session_id, lang): the language most rows of the session vote for, the last by name of equals."""
     counts = rows.where(F.col(by).isNotNull()).groupBy("session_id", by).count()
     return counts.groupBy("session_id").agg(F.max_by(by, F.struct("count", F.col(by))).alias("lang"))
 
 
-def measured(segments: DataFrame) -> DataFrame:
-    """Per usable segment its label and the words left, for each language it may be in.
+def with_language(rows: DataFrame, languages: DataFrame, salts: int = 16) -> DataFrame:
+    """rows with the language of their session, null for none. The rows of a session are spread over `salts`
+    keys, and its one language is repeated for each, so a large session isn't one task."""
+    told = languages.select(F.col("session_id").alias("_s"), "lang", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt_of"))
+    spread = rows.withColumn("_salt", F.pmod(F.hash("pos"), F.lit(salts)))
+    return spread.join(told, F.col("session_id").eqNullSafe(F.col("_s")) & (F.col("_salt") == F.col("_salt_of")), "left").drop("_s", "_salt", "_salt_of")
+
+
+def by_language(text: Column, lang: Column) -> Column:
+    """The text without the fillers of its language, en where that is null or unknown."""
+    out = None
+    for k in LANGUAGES[1:]:
+        out = (F if out is None else out).when(lang == k, without_fillers(text, k))
+    return out.otherwise(without_fillers(text, "en"))
+
+
+def measured(segments: DataFrame, keep_text: bool = False) -> DataFrame:
+    """(session_id, pos, start_s, end_s, label, vote, n, rest) per usable segment: n words, and in rest what was
+    said where a filler may have to go; with keep_text rest is what was said everywhere.
 
-    Texts are read once, where they lie: only counts are shuffled.
+    Texts are read once, where they lie. Most have no sign that OPENING or NOISE needs and are only tested for
+    fillers and counted; only those with fillers are shuffled.
     """
-    x = said(F.coalesce("text", F.lit("")))
+    text = F.coalesce("text", F.lit(""))
     label = F.when(F.col("speaker").isNull() | (F.col("speaker") == ""), opening_label(F.col("text"))).otherwise(F.col("speaker"))
-    base = segments.select("session_id", "pos", "seg_id", "start_s", "end_s", label.alias("label"), x.alias("x"))
-    base = base.withColumns({"n": F.regexp_count("x", F.lit(WORDS)), "filled": F.col("x").rlike(FILLERS), "vote": vote(F.col("x"))})
-    counts = [F.when(F.col("filled"), F.regexp_count(without_fillers(F.col("x"), k), F.lit(WORDS))).otherwise(F.col("n")).cast("int").alias(k) for k in LANGUAGES]
-    once = delivered_once(base, F.col("start_s"), F.col("end_s"), F.col("label"), F.col("vote"), *counts)
+    base = segments.select("session_id", "pos", "seg_id", "start_s", "end_s", label.alias("label"), F.when((F.octet_length(text) != F.length(text)) | text.rlike(NOTED), said(text)).otherwise(text).alias("x"))
+    rest = F.col("x") if keep_text else F.when(F.col("x").rlike(FILLERS), F.col("x"))
+    once = delivered_once(base, F.col("start_s"), F.col("end_s"), F.col("label"), vote(F.col("x")).alias("vote"), F.regexp_count("x", F.lit(WORDS)).cast("int").alias("n"), rest.alias("rest"))
     return once.where(usable())
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """What measured() gave, with n less the fillers of the session's language, rows without a word left out."""
+    kept = ["session_id", "pos", "start_s", "end_s", "label", "n"]
+    told = with_language(rows.where(F.col("rest").isNotNull()), session_languages(rows))
+    less = told.withColumn("n", F.regexp_count(by_language(F.col("rest"), F.col("lang")), F.lit(WORDS)).cast("int"))
+    return rows.where(F.col("rest").isNull()).select(*kept).unionByName(less.select(*kept)).where(F.col("n") > 0)
+
+
 def clean_turns(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float = 5.0) -> DataFrame:
     """(session_id, first_pos, last_pos, speaker, start_s, end_s, n_segments, n_words) per clean turn.
 
@@ -109,13 +136,12 @@ def clean_turns(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float
     has no word. Null speakers take the label the text opens with, else UNKNOWN. end_s is that of the turn's
     last segment; names of one speaker are clustered within the session, see cluster_names.
     """
-    rows = written(measured(segments), "measured")
-    agree = F.col("en").eqNullSafe(F.col("de")) & (F.col("en") == F.col("fr")) & (F.col("en") == F.col("es"))
-    lang = session_languages(rows)
-    told = rows.where(~agree).alias("r").join(lang.alias("l"), F.col("r.session_id").eqNullSafe(F.col("l.session_id")), "left").select("r.*", F.coalesce(*[F.when(F.col("l.lang") == k, F.col(f"r.{k}")) for k in LANGUAGES], "r.en").alias("n"))
-    counted = rows.where(agree).withColumn("n", F.col("en")).unionByName(told).where(F.col("n") > 0).select("session_id", "pos", "start_s", "end_s", "label", "n")
-    known = unified(counted, speaker_names)
-    runs = merged_runs(known.select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.col("n").alias("weight")), max_gap_s)
+    return _turns(written(measured(segments), "measured"), speaker_names, max_gap_s)
+
+
+def _turns(rows: DataFrame, speaker_names: DataFrame, max_gap_s: float) -> DataFrame:
+    known = unified(counted(rows), speaker_names).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.col("n").alias("weight"))
+    runs = merged_runs(written(known, "labelled"), max_gap_s)
     return runs.select(F.col("entity").alias("session_id"), "first_pos", F.col("label").alias("speaker"), F.col("s").alias("start_s"), F.col("last_e").alias("end_s"), "last_pos", F.col("n").alias("n_segments"), F.col("weight").alias("n_words"))
 
 
@@ -128,12 +154,14 @@ def turns_with_text(segments: DataFrame, speaker_names: DataFrame, max_gap_s: fl
     """(session_id, first_pos, speaker, start_ms, end_ms, n_words, text) per clean turn.
 
     Turns and texts are range-sorted together, and each text belongs to the last turn that opens at or before
-    it. A turn's text is one value, so one turn, a speaker's run without a pause, must fit memory.
+    it. A turn's text is one value, so one turn, a speaker's run without a pause, must fit memory. Texts are
+    cleaned once and both sides read the same rows and the same languages.
     """
-    turns = clean_turns(segments, speaker_names, max_gap_s)
-    lang = session_languages(segments.select("session_id", vote(said(F.coalesce("text", F.lit("")))).alias("vote")))
-    once = delivered_once(segments, F.col("start_s"), F.col("end_s"), F.col("text")).where(usable())
-    texts = once.alias("o").join(lang.alias("l"), F.col("o.session_id").eqNullSafe(F.col("l.session_id")), "left").select("o.session_id", "o.pos", "o.start_s", clean_text(F.col("o.text"), F.col("l.lang")).alias("text")).where(F.regexp_count("text", F.lit(WORDS)) > 0)
+    rows = written(measured(segments, keep_text=True), "measured")
+    filled_rows = rows.withColumn("rest", F.when(F.col("rest").rlike(FILLERS), F.col("rest")))
+    turns = _turns(filled_rows, speaker_names, max_gap_s)
+    told = with_language(rows, session_languages(rows))
+    texts = told.select("session_id", "pos", "start_s", clean_text(F.col("rest"), F.col("lang"), True).alias("text")).where(F.regexp_count("text", F.lit(WORDS)) > 0)
     # turns in order don't overlap: the last start at or before a segment's is its turn's
     marks = turns.select("session_id", F.col("start_s").alias("at"), F.col("first_pos").alias("pos"), F.lit(None).cast("string").alias("text"), F.struct("first_pos", "speaker", milliseconds(F.col("start_s")).alias("start_ms"), milliseconds(F.col("end_s")).alias("end_ms"), "n_words").alias("turn"), F.lit(0).alias("side"))
     both = marks.unionByName(texts.select("session_id", F.col("start_s").alias("at"), "pos", "text", F.lit(None).cast(marks.schema["turn"].dataType).alias("turn"), F.lit(1).alias("side")))
