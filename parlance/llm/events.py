@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parlance.operators.runs import merged_runs
 from parlance.operators.segments import delivered_once, milliseconds, unified, usable
+from parlance.sources.shared import written
 
 
 def speaker_runs(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float = 5.0) -> DataFrame:
@@ -18,7 +19,8 @@ def speaker_runs(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float
     """
     once = delivered_once(segments, F.col("start_s"), F.col("end_s"), F.col("speaker").alias("label")).where(usable())
     rows = unified(once, speaker_names).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.lit(1).alias("weight"))
-    runs = merged_runs(rows, max_gap_s)
+    # written before it is range-sorted, as the borders are sampled from it
+    runs = merged_runs(written(rows, "labelled"), max_gap_s)
     return runs.select(F.col("entity").alias("session_id"), F.col("label").alias("speaker"), "first_pos", "last_pos", F.col("n").alias("n_events"), F.col("s").alias("start_s"), F.col("e").alias("end_s"))
 
 
