@@ -7,7 +7,6 @@ bytes, held exactly in one unsigned integer.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -18,8 +17,6 @@ Q = 8
 #: Twelve words of one letter with the blanks between them: no shorter text can be shared.
 SHORTEST = 23
 BAND = 32
-#: Regions with edits are kept from this length on.
-LEAST_BYTES = 128
 SLICE = 1 << 22
 #: Hits of one text that are spread out over their items at a time.
 HITS = 200_000
@@ -42,41 +39,56 @@ def mixed(grams: np.ndarray) -> np.ndarray:
     return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)
 
 
-@dataclass
+def shortest_words(text: bytes, words: int) -> int:
+    """The fewest bytes that so many consecutive words of a text take; 0 if it has fewer."""
+    starts = np.concatenate([[0], np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1, [len(text) + 1]])
+    return int((starts[words:] - starts[:-words]).min()) - 1 if len(starts) > words else 0
+
+
 class Index:
-    """The q-grams of a block of items: where each occurs, and a bit table to pass over most others."""
-
-    ids: list[int]
-    texts: list[str]
-    words: int
-    grams: np.ndarray = field(init=False)
-    first: np.ndarray = field(init=False)
-    items: np.ndarray = field(init=False)
-    places: np.ndarray = field(init=False)
-    seen: np.ndarray = field(init=False)
-    shingles: dict = field(init=False)
-
-    def __post_init__(self):
-        grams, items, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for k, text in enumerate(self.texts):
-            data = np.frombuffer(text.encode(), np.uint8)
-            if len(data) >= Q:
-                g = windows(data)
-                grams.append(g)
-                items.append(np.full(len(g), k))
-                places.append(np.arange(len(g)))
-        g, self.items, self.places = np.concatenate(grams), np.concatenate(items), np.concatenate(places)
+    """The q-grams of a block of items in sorted arrays, where each occurs, and a table of bits to pass over most
+    others; built once and broadcast. About 24 bytes a byte of items.
+
+    A band of an item is kept if one of two numbers of shared q-grams lies within one of two lengths of text, both
+    by the q-gram lemma. equal: the fewest bytes of any `words` words of the item, without an edit. edited:
+    region bytes with as many edits as max_error allows.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], words: int, max_error: float = 0.05, least_bytes: int = 60):
+        self.words, self.ids = words, [i for i, _ in items]
+        self.texts = [t.encode() for _, t in items]
+        sizes = np.array([len(t) for t in self.texts], np.int64)
+        #: the length from which an edited region of the item counts
+        self.region = np.maximum(2 * words - 1, np.minimum(least_bytes, np.ceil(0.9 * sizes))).astype(np.int64)
+        edits = (max_error * self.region).astype(np.int64)
+        shortest = [shortest_words(t, words) for t in self.texts]
+        #: per test and item the shared q-grams it takes and the places they may lie apart; none for too few words
+        self.tests = [
+            (np.array([n - Q + 1 if n else 1 << 40 for n in shortest], np.int64), np.array([n - Q for n in shortest], np.int64)),
+            (np.maximum(1, self.region + 1 - Q * (edits + 1)), self.region + edits - Q),
+        ]
+        long = [(k, t) for k, t in enumerate(self.texts) if len(t) >= Q]
+        grams = [windows(np.frombuffer(t, np.uint8)) for _, t in long]
+        n = [len(g) for g in grams]
+        g = np.concatenate([*grams, np.zeros(0, np.uint64)])
         order = np.argsort(g, kind="stable")
-        self.items, self.places = self.items[order], self.places[order]
-        self.grams, self.first = np.unique(g[order], return_index=True)
-        self.first = np.append(self.first, len(g))
+        self.items = np.repeat(np.array([k for k, _ in long], np.int32), n)[order]
+        self.places = np.concatenate([*[np.arange(k, dtype=np.int32) for k in n], np.zeros(0, np.int32)])[order]
+        self.grams, first = np.unique(g[order], return_index=True)
+        self.first = np.append(first, len(g)).astype(np.int32)
         self.seen = np.zeros(1 << 22, bool)
         self.seen[mixed(self.grams)] = True
-        self.shingles = {}
-        for k, text in enumerate(self.texts):
-            w = text.split(" ")
-            for i in range(len(w) - self.words + 1):
-                self.shingles.setdefault(tuple(w[i : i + self.words]), set()).add(k)
+        self.shingles: dict[int, frozenset] = {}
+
+    def shingles_of(self, k: int) -> frozenset:
+        """The runs of `words` words of an item; kept for the items that were asked for, a thousand at most."""
+        found = self.shingles.get(k)
+        if found is None:
+            if len(self.shingles) >= 1000:
+                self.shingles.clear()
+            w = self.texts[k].decode().split(" ")
+            found = self.shingles[k] = frozenset(" ".join(w[i : i + self.words]) for i in range(len(w) - self.words + 1))
+        return found
 
     def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places of the windows of data that some item has, and their numbers among the grams."""
@@ -92,150 +104,162 @@ class Index:
         return np.concatenate(at), np.concatenate(which)
 
 
-def candidates(index: Index, texts: list[str], least: int) -> dict[tuple[int, int], dict[int, int]]:
-    """Pairs of text and item, each with the bands in which they share at least `least` q-grams, and how many.
+def candidates(index: Index, texts: list[str]) -> dict[tuple[int, int], list[int]]:
+    """Pairs of text and item, each with the lowest diagonals of the bands in which they share enough q-grams close
+    to each other.
 
-    Bands are two widths wide and begin every width, so any two diagonals at most a width apart share one. A
-    text first has to have `least` hits within a stretch no longer than the longest item may fill.
+    Bands are two widths wide and begin every width, so any two diagonals at most a width apart share one.
     """
+    least = int(min(need.min() for need, _ in index.tests))
     data = "\0\0\0\0\0\0\0\0".join(texts).encode()
     raw = np.frombuffer(data, np.uint8)
     at, which = index.hits(raw)
     if len(at) < least:
         return {}
-    reach = max(len(t.encode()) for t in index.texts) + 2 * BAND
-    # a hit counts where it is one of `least` hits that lie within reach of each other
-    dense = np.zeros(len(at), bool)
+    reach = int(max(apart.max() for _, apart in index.tests))
+    # a hit counts where it is one of `least` hits no farther apart than any test allows
     close = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] <= reach)
     edge = np.zeros(len(at) + 1, np.int64)
     np.add.at(edge, close, 1)
     np.add.at(edge, close + least, -1)
     dense = np.cumsum(edge[:-1]) > 0
     at, which = at[dense], which[dense]
-    ends = np.cumsum([len(t.encode()) + Q for t in texts])
-    of = np.searchsorted(ends, at, side="right")
-    local = at - np.concatenate([[0], ends])[of]
-    out: dict[tuple[int, int], dict[int, int]] = {}
-    # one text after the other, and long ones in slices that overlap by what a region can fill, so that what is
-    # spread out at a time is bounded
-    cut = np.flatnonzero(np.diff(of)) + 1
-    for begin, end in zip(np.concatenate([[0], cut]).tolist(), np.append(cut, len(of)).tolist()):
-        a = begin
-        while end - a >= least:
-            b = min(end, a + HITS)
-            for (k, band), c in _bands(index, local[a:b], which[a:b], least).items():
-                known = out.setdefault((int(of[a]), k), {})
-                known[band] = max(known.get(band, 0), c)
-            if b == end:
-                break
-            a = max(a + 1, int(np.searchsorted(local[begin:end], local[b - 1] - reach)) + begin)
+    starts = np.concatenate([[0], np.cumsum([len(t.encode()) + Q for t in texts])])
+    found = set()
+    # in slices that overlap by what a region can fill, so that what is spread out at a time is bounded
+    a = 0
+    while len(at) - a >= least:
+        b = min(len(at), a + HITS)
+        found.update(_bands(index, starts, at[a:b], which[a:b]))
+        if b == len(at):
+            break
+        a = max(a + 1, int(np.searchsorted(at, at[b - 1] - reach)))
+    out: dict[tuple[int, int], list[int]] = {}
+    for text, k, low in sorted(found):
+        out.setdefault((text, k), []).append(low)
     return out
 
 
-def _bands(index: Index, places: np.ndarray, which: np.ndarray, least: int) -> dict[tuple[int, int], int]:
-    """For the hits of one text the items and bands with at least `least` of them, and how many."""
-    n = index.first[which + 1] - index.first[which]
+def _bands(index: Index, starts: np.ndarray, places: np.ndarray, which: np.ndarray) -> list[tuple[int, int, int]]:
+    """For hits at places of joined texts the text, item and lowest diagonal of each band that passes a test."""
+    n = (index.first[which + 1] - index.first[which]).astype(np.int64)
     occurrence = np.repeat(index.first[which] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-    item = index.items[occurrence]
-    band = (np.repeat(places, n) - index.places[occurrence] + (1 << 40)) // BAND
-    key = np.concatenate([(item << np.int64(36)) + band, (item << np.int64(36)) + band - 1])
-    unique, count = np.unique(key, return_counts=True)
-    kept = count >= least
-    return {(k >> 36, k & ((1 << 36) - 1)): c for k, c in zip(unique[kept].tolist(), count[kept].tolist())}
+    text = np.repeat(np.searchsorted(starts, places, side="right") - 1, n)
+    at, pair = np.repeat(places, n) - starts[text], text * len(index.ids) + index.items[occurrence]
+    zero = -(-max(map(len, index.texts)) // BAND) + 1  # so that no band is negative
+    band = (at - index.places[occurrence]) // BAND + zero
+    key = (pair << np.int64(28)) + band
+    key, at = np.stack([key, key - 1], 1).ravel(), np.repeat(at, 2)
+    order = np.argsort(key, kind="stable")  # hits come in order of their places
+    key, at = key[order], at[order]
+    item = (key >> np.int64(28)) % len(index.ids)
+    passed = np.zeros(len(key), bool)
+    first = np.arange(len(key))
+    for need, apart in index.tests:
+        last = first + need[item] - 1
+        fits = last < len(key)
+        a, b = first[fits], last[fits]
+        passed[a] |= (key[a] == key[b]) & (at[b] - at[a] <= apart[item[a]])
+    kept = np.unique(key[passed])
+    pair, low = kept >> np.int64(28), ((kept & ((1 << 28) - 1)) - zero) * BAND
+    return list(zip((pair // len(index.ids)).tolist(), (pair % len(index.ids)).tolist(), low.tolist()))
 
 
 def aligned(texts: list[bytes], items: list[bytes], lows: list[int]) -> list[tuple[int, int]]:
     """(length, edits) of the best local alignment of each item and text within the band [low, low + 2 BAND).
 
-    A match counts 1, a changed, missing or added byte -2; the length is that of the item's aligned part. All
-    pairs go together, row by row over the items with the bands as vectors; runs of added bytes come from a
-    running maximum.
+    The length is that of the item's aligned part; an alignment scores its length less three times its changed,
+    missing and added bytes, so length and score give the edits. All pairs go together, row by row over the
+    items with the bands as vectors; score and length share an integer, so that one maximum decides both, and
+    runs of added bytes come from a running maximum.
     """
     size, width = max(map(len, items)), 2 * BAND
-    lane = np.arange(width)
     text = np.zeros((len(texts), size + 3 * width), np.uint8)
-    item = np.zeros((len(items), size), np.uint8)
+    item = np.full((len(items), size), 1, np.uint8)
     for k, (t, x, low) in enumerate(zip(texts, items, lows)):
         skip = max(0, -low)  # lanes of the first row that lie before the text
         seen = np.frombuffer(t, np.uint8)[max(0, low) :][: max(0, text.shape[1] - skip)]
         text[k, skip : skip + len(seen)] = seen
         item[k, : len(x)] = np.frombuffer(x, np.uint8)
-    score, span, edits = np.zeros((len(texts), width)), np.zeros((len(texts), width), np.int32), np.zeros((len(texts), width), np.int32)
-    best, best_span, best_edits = np.zeros(len(texts)), np.zeros(len(texts), int), np.zeros(len(texts), int)
-    every = np.arange(len(texts))
+    kind, point = (np.int32, 1 << 16) if size < 1 << 14 else (np.int64, 1 << 32)
+    match, other = kind(point + 1), kind(1 - 2 * point)
+    lanes = (3 * point * np.arange(width)).astype(kind)
+    state = np.zeros((len(texts), width + 1), kind)
+    state[:, width] = -8 * point
+    now, best = state[:, :width], np.zeros(len(texts), kind)
     for i in range(size):
         here = text[:, i : i + width]
-        same = (here == item[:, i : i + 1]) & (here != 0)
-        s, n, e = score + np.where(same, 1.0, -2.0), span + 1, edits + ~same
-        up = np.concatenate([score[:, 1:], np.full((len(texts), 1), -1.0)], 1) - 2.0  # a byte of the item that the text lacks
-        better = up > s
-        s = np.where(better, up, s)
-        n = np.where(better, np.roll(span, -1, 1) + 1, n)
-        e = np.where(better, np.roll(edits, -1, 1) + 1, e)
-        shifted = s + 2.0 * lane
-        run = np.maximum.accumulate(shifted, 1)
-        origin = np.maximum.accumulate(np.where(shifted >= run, lane, 0), 1)
-        s, n, e = run - 2.0 * lane, np.take_along_axis(n, origin, 1), np.take_along_axis(e, origin, 1) + lane - origin
-        none = (s <= 0) | (here == 0) | (item[:, i : i + 1] == 0)
-        score, span, edits = np.where(none, 0.0, s), np.where(none, 0, n), np.where(none, 0, e)
-        k = score.argmax(1)
-        more = score[every, k] > best
-        best = np.where(more, score[every, k], best)
-        best_span, best_edits = np.where(more, span[every, k], best_span), np.where(more, edits[every, k], best_edits)
-    return list(zip(best_span.tolist(), best_edits.tolist()))
-
-
-def shared_words(index: Index, text: str, wanted: set[int]) -> dict[int, int]:
-    """Of the wanted items those that share a run of index.words words with the text, with the most words of
-    their shingles found."""
-    w = text.split(" ")
-    n: dict[int, int] = {}
-    run: dict[int, int] = {}
-    for i in range(len(w) - index.words + 1):
-        now = index.shingles.get(tuple(w[i : i + index.words]), set()) & wanted
-        run = {k: run.get(k, index.words - 1) + 1 for k in now}
-        for k, r in run.items():
-            n[k] = max(n.get(k, 0), r)
-    return n
-
-
-def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: float = 0.05, block_bytes: int = 8 << 20, edited: bool = True) -> DataFrame:
+        # the same bytes, or a changed one; or a byte of the item that the text lacks
+        step = np.maximum(now + np.where(here == item[:, i : i + 1], match, other), state[:, 1:] + other)
+        step += lanes
+        np.maximum.accumulate(step, 1, out=step)
+        step -= lanes
+        step[(step < point) | (here == 0)] = 0
+        now[:] = step
+        np.maximum(best, step.max(1), out=best)
+    length = best & (point - 1)
+    return list(zip(length.tolist(), ((length - best // point) // 3).tolist()))
+
+
+def shared_words(index: Index, words: list[str], k: int) -> int:
+    """The most words in a row that the item shares with a text, 0 for fewer than index.words."""
+    known, most, run = index.shingles_of(k), 0, 0
+    for i in range(len(words) - index.words + 1) if known else ():
+        run = (run + 1 if run else index.words) if " ".join(words[i : i + index.words]) in known else 0
+        most = max(most, run)
+    return most
+
+
+def blocks_of(items: DataFrame, block_bytes: int):
+    """The items in blocks of at most block_bytes of text, or of one longer item; one block at a time is held."""
+    block, size = [], 0
+    for r in items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").toLocalIterator():
+        text = normalized(r[1])
+        if block and size + len(text.encode()) > block_bytes:
+            yield block
+            block, size = [], 0
+        if text:
+            block.append((r[0], text))
+            size += len(text.encode())
+    if block:
+        yield block
+
+
+def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: float = 0.05, least_bytes: int = 60, block_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, item_id, n_words, n_chars, n_edits, item_share) for every document and item with a shared region.
 
-    Bands with enough shared q-grams are verified by alignment. A pair is kept if it has a run of at least
-    `words` equal words (n_words, else 0) and an alignment as long, or, unless edited is False, if the best
-    alignment within a band has at most max_error edits a byte over at least LEAST_BYTES bytes. n_chars,
-    n_edits and item_share describe the best alignment. The word check comes first where it is enough, since
-    it spares alignments that can't be kept. The filter loses nothing: `words` words are at least 2 words - 1
-    bytes, so they share that many less Q - 1 q-grams on one diagonal; L bytes with e edits share
-    L + 1 - Q (e + 1).
+    Every band with enough shared q-grams is verified by alignment. A pair is kept if the best alignment within
+    a band scores what `words` equal words would, and then either has such a run of equal words (n_words, else
+    0), or at most max_error edits a byte over at least least_bytes bytes, or nine tenths of an item shorter than
+    that. n_chars, n_edits and item_share describe the best alignment. The filter loses nothing: `words` words are at
+    least 2 words - 1 bytes, so they share that many less Q - 1 q-grams on one diagonal; L bytes with e edits
+    share L + 1 - Q (e + 1).
 
     Case and everything but letters and digits are ignored. Null or empty texts share nothing; rows with
-    equal ids are taken together. Whole texts are searched, long ones in slices. Items are the query set: they
-    go to the executors in blocks of block_bytes of text at most, one pass over the documents a block.
+    equal ids are taken together. Whole texts are searched, long ones in slices. Items are the query set: their
+    index goes to the executors once, in blocks of block_bytes of text at most, one pass over the documents a
+    block. Measured: 24 MB for each MB of items, 200 MB for a full block.
     """
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
-    least = 2 * words - 1 - Q + 1
+    spark = documents.sparkSession
     out = None
-    for b in range(blocks):
-        rows = items.where(F.col("item_id").isNotNull() & (F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)).select("item_id", "text").collect()
-        texts = [(r[0], normalized(r[1])) for r in rows]
-        texts = [(i, t) for i, t in texts if t]
-        found = documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInPandas(_search(texts, words, max_error, least, edited), REGION)
+    for block in blocks_of(items, block_bytes):
+        index = spark.sparkContext.broadcast(Index(block, words, max_error, least_bytes))
+        found = documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInPandas(_search(index, max_error), REGION)
         out = found if out is None else out.unionByName(found)
+    if out is None:
+        return spark.createDataFrame([], REGION)
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("n_words", "n_chars", "n_edits", "item_share")])
 
 
-def _search(items: list[tuple[int, str]], words: int, max_error: float, least: int, edited: bool):
+def _search(shared, max_error: float):
     def search(frames):
-        index = Index([i for i, _ in items], [t for _, t in items], words) if items else None
+        index = shared.value
         for frame in frames:
             ids, raw = frame["doc_id"].tolist(), frame["text"].tolist()
             rows, a, size = [], 0, 0
             for b in range(len(ids) + 1):
                 if b == len(ids) or size > SLICE:
-                    rows += _regions(index, ids[a:b], [normalized(t) for t in raw[a:b]], words, max_error, least, edited) if index else []
+                    rows += regions(index, ids[a:b], [normalized(t) for t in raw[a:b]], max_error)
                     a, size = b, 0
                 if b < len(ids):
                     size += len(raw[b])
@@ -244,23 +268,27 @@ def _search(items: list[tuple[int, str]], words: int, max_error: float, least: i
     return search
 
 
-def _regions(index: Index, ids: list[int], texts: list[str], words: int, max_error: float, least: int, edited: bool) -> list[tuple]:
-    pairs = candidates(index, texts, least)
-    by: dict[int, set[int]] = {}
-    for d, k in pairs:
-        by.setdefault(d, set()).add(k)
-    exact = {(d, k): n for d, wanted in by.items() for k, n in shared_words(index, texts[d], wanted).items()}
-    bound = LEAST_BYTES + 1 - Q * (int(max_error * LEAST_BYTES) + 1)
-    todo = [(d, k, band) for (d, k), bands in pairs.items() for band, n in bands.items() if (d, k) in exact or (edited and n >= bound)]
+def regions(index: Index, ids: list[int], texts: list[str], max_error: float) -> list[tuple]:
+    todo = [(d, k, low) for (d, k), lows in candidates(index, texts).items() for low in lows]
+    # of one length of item together, as the alignment goes over its bytes
+    todo.sort(key=lambda x: len(index.texts[x[1]]))
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for a in range(0, len(todo), 4096):
-        part = todo[a : a + 4096]
-        for (d, k, _), found in zip(part, aligned([texts[d].encode() for d, _, _ in part], [index.texts[k].encode() for _, k, _ in part], [(band << 5) - (1 << 40) for _, _, band in part])):
+    for a in range(0, len(todo), 1024):
+        part = todo[a : a + 1024]
+        for (d, k, _), found in zip(part, aligned([texts[d].encode() for d, _, _ in part], [index.texts[k] for _, k, _ in part], [low for _, _, low in part])):
             best[d, k] = max(best.get((d, k), (0, 0)), found, key=lambda x: x[0] - 3 * x[1])
-    kept = {p for p, (n, e) in best.items() if n >= 2 * words - 1 and p in exact or edited and n >= LEAST_BYTES and e <= max_error * n}
-    return [(ids[d], index.ids[k], exact.get((d, k), 0), *best[d, k], best[d, k][0] / len(index.texts[k].encode())) for d, k in sorted(kept)]
+    out, split = [], {}
+    for (d, k), (n, e) in sorted(best.items()):
+        if n - 3 * e < 2 * index.words - 1:
+            continue
+        if d not in split:
+            split = {d: texts[d].split(" ")}
+        equal = shared_words(index, split[d], k)
+        if equal or n >= index.region[k] and e <= max_error * n:
+            out.append((ids[d], index.ids[k], equal, n, e, n / len(index.texts[k])))
+    return out
 
 
 def found_leaks(documents: DataFrame, items: DataFrame, words: int = 12) -> DataFrame:
     """Documents with the items of which they have at least `words` consecutive words."""
-    return leaks(documents, items, words, edited=False).where(F.col("n_words") >= words).select("doc_id", "item_id")
+    return leaks(documents, items, words).where(F.col("n_words") >= words).select("doc_id", "item_id")
