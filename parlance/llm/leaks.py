@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 Q = 8
 #: Twelve words of one letter with the blanks between them: no shorter text can be shared.
 SHORTEST = 23
-BAND = 32
+BAND = 16
 SLICE = 1 << 22
 #: Hits of one text that are spread out over their items at a time.
 HITS = 200_000
@@ -229,8 +229,8 @@ def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: fl
     """(doc_id, item_id, n_words, n_chars, n_edits, item_share) for every document and item with a shared region.
 
     Every band with enough shared q-grams is verified by alignment. A pair is kept if the best alignment within
-    a band scores what `words` equal words would, and then either has such a run of equal words (n_words, else
-    0), or at most max_error edits a byte over at least least_bytes bytes, or nine tenths of an item shorter than
+    a band scores what `words` equal words of the item would and the pair then has such a run (n_words, else 0), or
+    if it has at most max_error edits a byte over at least least_bytes bytes, or nine tenths of an item shorter than
     that. n_chars, n_edits and item_share describe the best alignment. The filter loses nothing: `words` words are at
     least 2 words - 1 bytes, so they share that many less Q - 1 q-grams on one diagonal; L bytes with e edits
     share L + 1 - Q (e + 1).
@@ -279,11 +279,11 @@ def regions(index: Index, ids: list[int], texts: list[str], max_error: float) ->
             best[d, k] = max(best.get((d, k), (0, 0)), found, key=lambda x: x[0] - 3 * x[1])
     out, split = [], {}
     for (d, k), (n, e) in sorted(best.items()):
-        if n - 3 * e < 2 * index.words - 1:
-            continue
-        if d not in split:
-            split = {d: texts[d].split(" ")}
-        equal = shared_words(index, split[d], k)
+        equal = 0
+        if n - 3 * e >= index.tests[0][0][k] + Q - 1:  # what the equal words alone would score
+            if d not in split:
+                split = {d: texts[d].split(" ")}
+            equal = shared_words(index, split[d], k)
         if equal or n >= index.region[k] and e <= max_error * n:
             out.append((ids[d], index.ids[k], equal, n, e, n / len(index.texts[k])))
     return out
