@@ -53,14 +53,16 @@ _P8_GRAMS = lambda t, i: f"(SELECT {i}, unnest(list_transform(range(1, len(w) -
 _P8 = f"""WITH d AS {_P8_GRAMS("documents", "doc_id")}, e AS {_P8_GRAMS("eval_items", "item_id")}
 SELECT DISTINCT doc_id, item_id FROM d JOIN e USING (g)"""
 
+_SYMBOL = r"""[^\p{L}\p{N}_\s.,;:!?'"()\-。、，！？：；「」『』（）《》·…’“”«»¿¡–—]"""
+_ENDED = r"""[.!?…:。！？：]["'”’»)\]」』）]*\s*$"""
 _WHITE = " || ".join(f"chr({ord(c)})" for c in turns.WHITE if c != "\n")
 _P10 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, translate(coalesce(text, ''), {_WHITE}, {_text(" " * (len(turns.WHITE) - 1))}) AS x FROM documents),
 e AS (SELECT *, list_filter(regexp_split_to_array(x, '\\s+'), lambda w: w <> '') AS tokens, list_filter(string_split(x, chr(10)), lambda l: trim(l) <> '') AS lines, regexp_extract_all(lower(t), '[\\p{{L}}]+') AS letters FROM d),
 f AS (SELECT *, length(regexp_replace(x, '\\s', '', 'g')) AS visible FROM e)
 SELECT doc_id, len(regexp_extract_all(x, {_text(turns.WORDS)})) AS n_words,
   CASE WHEN len(tokens) > 0 THEN CAST(visible AS DOUBLE) / len(tokens) ELSE 0 END AS mean_word_len,
-  CASE WHEN visible > 0 THEN CAST(len(regexp_extract_all(x, '[^\\p{{L}}\\p{{N}}_\\s.,;:!?''"()-]')) AS DOUBLE) / visible ELSE 0 END AS symbol_ratio,
-  CASE WHEN len(lines) > 0 THEN CAST(len(list_filter(lines, lambda l: regexp_matches(l, '[.!?…:]["''”’»)\\]]*\\s*$'))) AS DOUBLE) / len(lines) ELSE 0 END AS end_punct_share,
+  CASE WHEN visible > 0 THEN CAST(len(regexp_extract_all(x, {_text(_SYMBOL)})) AS DOUBLE) / visible ELSE 0 END AS symbol_ratio,
+  CASE WHEN len(lines) > 0 THEN CAST(len(list_filter(lines, lambda l: regexp_matches(l, {_text(_ENDED)}))) AS DOUBLE) / len(lines) ELSE 0 END AS end_punct_share,
   CASE WHEN len(letters) > 0 THEN CAST(len(list_filter(letters, lambda w: w IN ({", ".join(_text(w) for w in sorted(quality.COMMON))}))) AS DOUBLE) / len(letters) ELSE 0 END AS common_share FROM f"""
 
 _RUN = "arg_min(pos, (start_s, pos)) AS first_pos"

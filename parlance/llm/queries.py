@@ -102,7 +102,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.statistics(table(spark, folder, "documents")).select("doc_id", *quality.STATISTICS[:5])
+    return quality.statistics(table(spark, folder, "documents"), of=quality.shares_of, names=quality.STATISTICS[:5]).select("doc_id", *quality.STATISTICS[:5])
 
 
 @query
