@@ -19,22 +19,30 @@ TOKENIZERS = "/opt/tokenizers"
 BINS = 4096
 
 
-def encoding(path: str):
-    """The byte-level tokenizer of a file of ranks; the pattern stands beside it in the same folder. Kept on the
-    library's module, so that a worker's tasks share it."""
-    import importlib.util
+#: Fixed value: the published pattern that splits a text before the merges of the rank files.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-    import tiktoken
 
-    held = tiktoken.__dict__.setdefault("_held_encodings", {})
-    if path not in held:
-        spec = importlib.util.spec_from_file_location("_public_tokenizers", os.path.join(os.path.dirname(path), "__init__.py"))
-        module = importlib.util.module_from_spec(spec)
-        spec.loader.exec_module(module)
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        held[path] = tiktoken.Encoding("own", pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return held[path]
+class Vocabulary:
+    """A byte-level tokenizer from the bytes of a file of ranks, which the driver reads and broadcasts, so that
+    executors need no such file. Built when first asked, once a worker."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.made = raw, None
+
+    def __getstate__(self):
+        return self.raw
+
+    def __setstate__(self, raw):
+        self.__init__(raw)
+
+    def sizes(self, texts: list[str]) -> list[int]:
+        if self.made is None:
+            import tiktoken
+
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.raw.splitlines())}
+            self.made = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return [len(self.made.encode_ordinary(t)) for t in texts]
 
 
 def source_name(source: Column) -> Column:
@@ -45,12 +53,12 @@ def source_name(source: Column) -> Column:
 
 def counted(documents: DataFrame, tokenizers: str = TOKENIZERS, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """(doc_id, source, tokens): the size of every text in tokens of a public tokenizer, 0 for null and empty."""
-    path = os.path.join(os.path.realpath(tokenizers), vocabulary)
+    with open(os.path.join(tokenizers, vocabulary), "rb") as f:
+        shared = documents.sparkSession.sparkContext.broadcast(Vocabulary(f.read()))
 
     def count(frames):
-        known = encoding(path)
         for frame in frames:
-            n = [len(known.encode_ordinary(t)) if isinstance(t, str) and t else 0 for t in frame["text"]]
+            n = shared.value.sizes([t if isinstance(t, str) else "" for t in frame["text"]])
             yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "source": frame["source"], "tokens": n})
 
     return documents.select("doc_id", source_name(F.col("source")).alias("source"), "text").mapInPandas(count, "doc_id bigint, source string, tokens bigint")
@@ -92,15 +100,17 @@ def thresholds(rate: float, most: int) -> list[float]:
     return out
 
 
-def plan_rates(bins: dict[str, np.ndarray], plan: list[tuple[str, float, int]]) -> dict[str, list[float]]:
+def plan_rates(bins: dict[str, np.ndarray], plan: list[tuple[str, float, int]], most_tokens: float = math.inf) -> dict[str, list[float]]:
     """The thresholds per source of a plan of (source, target share, most repeats).
 
-    The mixture is as large as every source can have its share without more repeats than it may. Shares are
+    The mixture is as large as every source can have its share without more repeats than it may, and has
+    most_tokens tokens at most. Shares are
     taken relative to their sum. A source with a share but without any tokens is left out, its share missed.
     """
     whole = sum(max(0.0, s) for _, s, _ in plan)
     shares = [(n, s / whole, m) for n, s, m in plan if s > 0 and m > 0 and n in bins] if whole > 0 else []
     total = min((bins[n].sum() * m / s for n, s, m in shares), default=0.0)
+    total = min(total, most_tokens)
     out: dict[str, list[float]] = {n: [] for n, _, _ in plan}
     for n, s, m in shares:
         out[n] = thresholds(rate_for(bins[n], total * s, m), m)
@@ -112,7 +122,7 @@ def uniform(*parts: Column | str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*[F.col(p) if isinstance(p, str) else p for p in parts]), 11) / F.lit(float(1 << 53))
 
 
-def replicated(documents: DataFrame, plans: DataFrame, seed: int = 17, tokenizers: str = TOKENIZERS, most_rows: int = 1000) -> tuple[DataFrame, DataFrame]:
+def replicated(documents: DataFrame, plans: DataFrame, seed: int = 17, tokenizers: str = TOKENIZERS, most_rows: int = 1000, most_tokens: float = math.inf) -> tuple[DataFrame, DataFrame]:
     """(chosen, shares). chosen: (plan_name, doc_id, source, tokens, repeats) of the documents taken, with the
     number of times; shares: (plan_name, source, target_share, max_repeats, source_tokens, taken_tokens, share).
 
@@ -125,7 +135,7 @@ def replicated(documents: DataFrame, plans: DataFrame, seed: int = 17, tokenizer
     Spellings of a source are one, see source_name; a null source is in no plan; texts without a token are
     taken by no plan; plan rows of one plan and source beyond the first by max_repeats are ignored, as are
     null names; null shares and repeats are 0. Rows with equal ids are taken or left together. plans is a
-    small fixed table, most_rows at most; the sizes gathered are one number per source of a plan.
+    small fixed table, and more than most_rows rows raise an error; most_tokens bounds a mixture; the sizes gathered are one number per source of a plan.
     """
     spark = documents.sparkSession
     rows = plans.where(F.col("plan_name").isNotNull() & F.col("source").isNotNull()).groupBy("plan_name", source_name(F.col("source")).alias("source")).agg(F.min(F.struct(F.coalesce("max_repeats", F.lit(0)).alias("m"), F.coalesce("target_share", F.lit(0.0)).alias("s"))).alias("x")).select("plan_name", "source", "x.s", "x.m").limit(most_rows + 1).collect()
@@ -142,7 +152,7 @@ def replicated(documents: DataFrame, plans: DataFrame, seed: int = 17, tokenizer
     table = []
     for name in sorted({r[0] for r in rows}):
         plan = [(r[1], float(r[2]), int(r[3])) for r in rows if r[0] == name]
-        cuts = plan_rates(bins, plan)
+        cuts = plan_rates(bins, plan, most_tokens)
         table += [(name, n, t, m, int(bins[n].sum()) if n in bins else 0, cuts[n]) for n, t, m in plan]
     rates = spark.createDataFrame(table, "plan_name string, source string, target_share double, max_repeats bigint, source_tokens bigint, thresholds array<double>")
     # as many rows as the plans have, a fixed small table
@@ -159,3 +169,12 @@ def shuffled(chosen: DataFrame, seed: int = 17) -> DataFrame:
     the whole mixture: ranges of the key are written by different tasks, so no task holds a plan."""
     rows = chosen.withColumn("repeat_no", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).drop("repeats").withColumn("repeat_no", F.col("repeat_no").cast("bigint"))
     return rows.withColumn("shuffle_key", F.xxhash64(F.lit(seed + 1), "plan_name", "doc_id", "repeat_no")).orderBy("plan_name", "shuffle_key", "doc_id")
+
+
+def checked(chosen: DataFrame, shares: DataFrame) -> DataFrame:
+    """(plan_name, source, max_repeats, within_cap, whole): whether no document is repeated more often than it may,
+    and whether the shares of a plan that takes anything sum to 1."""
+    most = chosen.groupBy("plan_name", "source").agg(F.max("repeats").alias("most"))
+    sums = shares.groupBy("plan_name").agg(F.sum("share").alias("sum"))
+    rows = shares.join(most, ["plan_name", "source"], "left").join(sums, "plan_name")
+    return rows.select("plan_name", "source", "max_repeats", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_cap"), (F.abs(F.col("sum") - 1) < 1e-9).alias("whole"))

@@ -27,12 +27,15 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _p4() -> str:
+def _p4(with_text: bool = False) -> str:
     white = "translate(coalesce(text, ''), " + " || ".join(f"chr({ord(c)})" for c in turns.WHITE) + ", " + _text(" " * len(turns.WHITE)) + ")"
     n = lambda x: f"len(regexp_extract_all({x}, {_text(turns.WORDS)}))"
     left = lambda k: f"regexp_replace(regexp_replace(regexp_replace(x, '\\s+', '  ', 'g'), {_text(turns.HESITATION[k])}, '\\1\\2\\3', 'g'), {_text(turns.PHRASE[k])}, ' ', 'g')"
     votes = " ".join(f"WHEN w IN ({', '.join(map(_text, v))}) THEN '{k}'" for k, v in turns.VOTES.items())
     words = " ".join(f"WHEN lang = '{k}' THEN {n(left(k))}" for k in turns.LANGUAGES[1:])
+    wordy = " ".join(f"WHEN lang = '{k}' THEN {left(k)}" for k in turns.LANGUAGES[1:])
+    clean = f"trim(regexp_replace(CASE WHEN NOT regexp_matches(x, {_text(turns.FILLERS)}) THEN x {wordy} ELSE {left('en')} END, {_text(r'^[\s,]+|\s+(?:,\s+)?')}, ' ', 'g'))"
+    told = f", {clean} AS clean" if with_text else ""
     digits = " || ".join(f"coalesce(regexp_extract(white, {_text(turns.OPENING_LABEL)}, {g}), '')" for g in (1, 2, 3))
     return f"""WITH once AS (SELECT session_id, pos, start_s, end_s, speaker, {white} AS white FROM segments QUALIFY row_number() OVER (PARTITION BY session_id, pos ORDER BY seg_id) = 1),
 s AS (SELECT *, regexp_replace(regexp_replace(white, {_text(turns.OPENING)}, ' '), {_text(turns.NOISE)}, ' ', 'g') AS x, {digits} AS opening FROM once WHERE end_s > start_s),
@@ -40,7 +43,7 @@ v AS (SELECT session_id, CASE {votes} END AS vote FROM (SELECT session_id, lower
 c AS (SELECT session_id, vote, count(*) AS n FROM v WHERE vote IS NOT NULL GROUP BY ALL),
 lg AS (SELECT session_id, arg_max(vote, (n, vote)) AS lang FROM c GROUP BY session_id),
 rows_in AS (SELECT s.session_id, pos, start_s, end_s, CASE WHEN coalesce(speaker, '') = '' THEN CASE WHEN opening <> '' THEN 'SPEAKER_' || opening END ELSE speaker END AS label,
-  CASE {words} ELSE {n(left("en"))} END AS n FROM s LEFT JOIN lg USING (session_id) WHERE n > 0),""" + _NAMES
+  CASE {words} ELSE {n(left("en"))} END AS n{told} FROM s LEFT JOIN lg USING (session_id) WHERE n > 0),""" + _NAMES
 
 
 _P6_LINE = "[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]"
@@ -68,11 +71,20 @@ SELECT doc_id, len(regexp_extract_all(x, {_text(turns.WORDS)})) AS n_words,
 _RUN = "arg_min(pos, (start_s, pos)) AS first_pos"
 _MS = lambda x: f"CAST(round({x} * 1000) AS BIGINT)"
 
+_N_WORDS = f"len(regexp_extract_all(translate(text, {' || '.join(f'chr({ord(c)})' for c in turns.WHITE)}, {_text(' ' * len(turns.WHITE))}), {_text(turns.WORDS)}))"
+_SOURCE = "nullif(regexp_replace(trim(lower(regexp_replace(source, '[\\s_-]+', ' ', 'g'))), ' ', '_', 'g'), '')"
+
 ORACLE: dict[str, str] = {
+    # what must hold of a result, where SQL can't make the result itself
+    "p2_checks": f"SELECT session_id, count(*) AS n_chunks, CAST(sum(w) AS BIGINT) AS words, CAST(0 AS BIGINT) AS n_over, true AS thrifty FROM (SELECT session_id, chunk_id, min(coalesce({_N_WORDS}, greatest(word_count, 0), 0)) AS w FROM chunk_index GROUP BY ALL) GROUP BY session_id",
+    "p6_checks": f"SELECT session_id, chunk_id, w AS n_words, CAST(0 AS BIGINT) AS n_over, true AS in_order FROM (SELECT DISTINCT session_id, chunk_id, {_N_WORDS} AS w FROM chunk_index), (SELECT max_words FROM size_limits WHERE purpose = 'split') WHERE w > max_words",
+    "p7_checks": "SELECT DISTINCT 'segments' AS source_table, session_id, pos AS item_no, true AS kept FROM segments WHERE text IS NOT NULL UNION ALL SELECT DISTINCT 'chunk_index', session_id, chunk_id, true FROM chunk_index WHERE text IS NOT NULL",
+    "p9_checks": f"SELECT plan_name, {_SOURCE} AS source, min(coalesce(max_repeats, 0)) AS max_repeats, true AS within_cap, true AS whole FROM mix_plans WHERE plan_name IS NOT NULL AND source IS NOT NULL GROUP BY ALL",
     "p3_found": _P3 + f"SELECT session_id, {_RUN}, arg_max(pos, (start_s, pos)) AS last_pos, count(*) AS n_events, {_MS('max(end_s)')} - {_MS('min(start_s)')} AS duration_ms FROM k GROUP BY session_id, run HAVING count(*) >= 2",
     "p3_events": _P3 + f"SELECT session_id, any_value(who) AS speaker, {_RUN}, arg_max(pos, (start_s, pos)) AS last_pos, count(*) AS n_events, {_MS('min(start_s)')} AS start_ms, {_MS('max(end_s)')} AS end_ms FROM k GROUP BY session_id, run",
     "p6_found": _P6,
     "p8_found": _P8,
     "p10_statistics": _P10,
     "p4_found": _p4() + f"SELECT session_id, {_RUN}, any_value(who) AS speaker, {_MS('min(start_s)')} AS start_ms, {_MS('arg_max(end_s, (start_s, pos))')} AS end_ms, CAST(sum(n) AS BIGINT) AS n_words FROM k GROUP BY session_id, run",
+    "p4_turns": _p4(True) + f"SELECT session_id, {_RUN}, any_value(who) AS speaker, {_MS('min(start_s)')} AS start_ms, {_MS('arg_max(end_s, (start_s, pos))')} AS end_ms, CAST(sum(n) AS BIGINT) AS n_words, string_agg(clean, ' ' ORDER BY start_s, pos) AS text FROM k GROUP BY session_id, run",
 }

@@ -434,3 +434,24 @@ def redacted_texts(segments: DataFrame, chunks: DataFrame, known_names: DataFram
     [ID_NUMBER], [ADDRESS] or [NAME], all else unchanged; null stays null."""
     rows = tagged(texts_of(segments, chunks), trained(known_names), keep_all=True)
     return delivered_once(rows, F.col("text"), key=("source_table", "session_id", "item_no"), version="version")
+
+
+def kept_texts(segments: DataFrame, chunks: DataFrame, known_names: DataFrame) -> DataFrame:
+    """(source_table, session_id, item_no, kept) per record with a text: whether the redacted text is the text with
+    placeholders for some of it, all else unchanged and in order."""
+    texts = texts_of(segments, chunks).where(F.col("text").isNotNull())
+    once = delivered_once(texts, F.col("text"), key=("source_table", "session_id", "item_no"), version="version")
+    model = trained(known_names)
+    placeholder = re.compile(r"\[(?:" + "|".join(x.upper() for x in LABELS[1:]) + r")\]")
+
+    def compare(frames):
+        for frame in frames:
+            kept = []
+            for text, found in zip(frame["text"], marks(model, frame["text"].tolist())):
+                at = 0
+                for part in placeholder.split(redacted(text, found)):
+                    at = text.find(part, at) + len(part) if at >= 0 and text.find(part, at) >= 0 else -1
+                kept.append(at >= 0)
+            yield frame.drop(columns="text").assign(kept=kept)
+
+    return once.mapInPandas(compare, "source_table string, session_id string, item_no bigint, kept boolean")

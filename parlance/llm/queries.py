@@ -62,6 +62,12 @@ def p2_small_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.containers(packing.pack_chunks(table(spark, folder, "chunk_index"), size), size)
 
 
+@query
+def p2_checks(spark: SparkSession, folder: str) -> DataFrame:
+    size, _ = limit(table(spark, folder, "size_limits"), "container")
+    return packing.checked(packing.pack_chunks(table(spark, folder, "chunk_index"), size), size)
+
+
 @query
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.found_oversized(table(spark, folder, "chunk_index"), *limit(table(spark, folder, "size_limits"), "split"))
@@ -72,6 +78,12 @@ def p6_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split_oversized(table(spark, folder, "chunk_index"), *limit(table(spark, folder, "size_limits"), "split")).drop("longest_stretch")
 
 
+@query
+def p6_checks(spark: SparkSession, folder: str) -> DataFrame:
+    size, overlap = limit(table(spark, folder, "size_limits"), "split")
+    return splitting.checked(splitting.split_oversized(table(spark, folder, "chunk_index"), size, overlap), size)
+
+
 @query
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.found_defects(table(spark, folder, "chunk_index"), table(spark, folder, "chunk_summaries"))
@@ -115,17 +127,32 @@ def p7_redacted(spark: SparkSession, folder: str) -> DataFrame:
     return pii.redacted_texts(table(spark, folder, "segments"), table(spark, folder, "chunk_index"), table(spark, folder, "known_names"))
 
 
+@query
+def p7_checks(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.kept_texts(table(spark, folder, "segments"), table(spark, folder, "chunk_index"), table(spark, folder, "known_names"))
+
+
+def _mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.replicated(table(spark, folder, "documents"), table(spark, folder, "mix_plans"))
+
+
+@query
+def p9_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """Every repeat of every document a plan takes, a row each, in the order of the shuffle."""
+    return mixing.shuffled(_mixed(spark, folder)[0])
+
+
 @query
 def p9_chosen(spark: SparkSession, folder: str) -> DataFrame:
     """The documents each plan takes, with their repeats."""
-    return mixing.replicated(table(spark, folder, "documents"), table(spark, folder, "mix_plans"))[0]
+    return _mixed(spark, folder)[0]
 
 
 @query
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.replicated(table(spark, folder, "documents"), table(spark, folder, "mix_plans"))[1]
+    return _mixed(spark, folder)[1]
 
 
 @query
-def p9_shuffled(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.shuffled(mixing.replicated(table(spark, folder, "documents"), table(spark, folder, "mix_plans"))[0])
+def p9_checks(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.checked(*_mixed(spark, folder))

@@ -121,3 +121,10 @@ def found_oversized(chunks: DataFrame, max_words: int, overlap: int) -> DataFram
     """Each chunk that was cut: hard if some stretch of it has more words than the limit, else soft."""
     first = split_oversized(chunks, max_words, overlap).where(F.col("piece_no") == 0)
     return first.select("session_id", "chunk_id", F.when(F.col("longest_stretch") > max_words, "hard").otherwise("soft").alias("cut"))
+
+
+def checked(pieces: DataFrame, max_words: int) -> DataFrame:
+    """(session_id, chunk_id, n_words, n_over, in_order): the words of a chunk that its pieces hold beyond their
+    overlaps, the pieces of an oversized chunk over the limit, and whether they are numbered from 0 without a gap."""
+    own = F.sum(F.col("n_words") - F.col("n_overlap")).alias("n_words")
+    return pieces.groupBy("session_id", "chunk_id").agg(own, F.sum((F.col("n_words") > max_words).cast("bigint")).alias("n_over"), (F.max("piece_no") == F.count(F.lit(1)) - 1).alias("in_order"))
