@@ -11,6 +11,7 @@ from parlance.config import ChunkConfig
 from parlance.functions.text import clock, count_words, padded_id, slug
 from parlance.operators import turns as turn_ops
 from parlance.operators.scans import in_ranges
+from parlance.sources.shared import by_range, written
 
 EDGE = "part int, session_id string, fresh_open bigint, fresh_breaks bigint, opens array<int>, breaks array<int>, first boolean"
 ENTRY = "part int, entry bigint, closed bigint"
@@ -90,8 +91,11 @@ def packed(pieces: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     ranges a session spans are chained, and then each range packs its pieces knowing its entry.
     """
     target, most = config.target_words, config.max_words
-    rows = in_ranges(pieces.select("session_id", "turn_no", "piece_no", "n_words"), ["session_id", "turn_no", "piece_no"], "pieces")
-    ordered = rows.repartition("part").sortWithinPartitions("part", "k")
+    keys = ["session_id", "turn_no", "piece_no"]
+    # turns come in ranges already; only keys and counts are written and move
+    rows = written(pieces.select(*keys, "n_words", "part"), "pieces") if "part" in pieces.columns else in_ranges(pieces.select(*keys, "n_words"), keys, "pieces").drop("k")
+    sort = ["part", F.col("session_id").asc_nulls_first(), "turn_no", "piece_no"]
+    ordered = rows.repartition("part").sortWithinPartitions(*sort)
 
     def effect(frame: pd.DataFrame) -> pd.DataFrame:
         spans, out = _sessions(frame), []
@@ -105,25 +109,23 @@ def packed(pieces: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     edges = ordered.mapInPandas(lambda frames: _by_part(frames, effect), EDGE)
 
     def chain(frames):
-        frames = [f for f in frames if len(f)]
-        if not frames:
-            return
-        held = pd.concat(frames, ignore_index=True)
-        rows, session, opened, closed = [], object(), -1, 0
-        held = held.sort_values(["session_id", "part"], na_position="first")
-        for part, name, fresh_open, fresh_breaks, opens, breaks, first in zip(*(held[c] for c in ("part", "session_id", "fresh_open", "fresh_breaks", "opens", "breaks", "first"))):
-            if name != session or opened < 0:
-                session, opened, closed = name, -1, 0
-            if first and opened >= 0:
-                rows.append((part, opened, closed))
-                opened, closed = int(opens[opened]), closed + int(breaks[opened])
-            else:
-                opened, closed = int(fresh_open), int(fresh_breaks)
-        yield pd.DataFrame(rows, columns=["part", "entry", "closed"])
+        # sorted by session and range: what is held is the state, not the tables
+        session, opened, closed, begun = None, -1, 0, False
+        for held in frames:
+            rows = []
+            for part, name, fresh_open, fresh_breaks, opens, breaks, first in zip(*(held[c] for c in ("part", "session_id", "fresh_open", "fresh_breaks", "opens", "breaks", "first"))):
+                if not begun or name != session or opened < 0:
+                    session, opened, closed, begun = name, -1, 0, True
+                if first and opened >= 0:
+                    rows.append((part, opened, closed))
+                    opened, closed = int(opens[opened]), closed + int(breaks[opened])
+                else:
+                    opened, closed = int(fresh_open), int(fresh_breaks)
+            yield pd.DataFrame(rows, columns=["part", "entry", "closed"])
 
     # two rows a range at most, each with max_words + 1 numbers, of fixed size whatever the input
-    entries = edges.repartition("session_id").mapInPandas(chain, ENTRY)
-    told = rows.join(F.broadcast(entries), "part", "left").repartition("part").sortWithinPartitions("part", "k")
+    entries = edges.repartition("session_id").sortWithinPartitions(F.col("session_id").asc_nulls_first(), "part", F.col("first").desc()).mapInPandas(chain, ENTRY)
+    told = rows.join(by_range(entries), "part", "left").repartition("part").sortWithinPartitions(*sort)
 
     def assign(frame: pd.DataFrame) -> pd.DataFrame:
         number = np.zeros(len(frame), np.int64)
@@ -139,15 +141,15 @@ def packed(pieces: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
 
 
 def assigned(pieces: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
-    """(session_id, turn_no, piece_no, chunk_id): packed, with a last chunk of at most tail_merge_words put to the
+    """(session_id, turn_no, piece_no, n_words, chunk_id): packed, with a last chunk of at most tail_merge_words put to the
     one before it if both together keep to max_words."""
-    rows = packed(pieces, config)
+    rows = written(packed(pieces, config), "packed")
     sums = rows.groupBy("session_id", "chunk_no").agg(F.sum("n_words").alias("words"))
     last = sums.groupBy("session_id").agg(F.max(F.struct("chunk_no", "words")).alias("x")).select(F.col("session_id").alias("sid"), F.col("x.chunk_no").alias("last_no"), F.col("x.words").alias("tail"))
     before = last.join(sums, F.col("sid").eqNullSafe(F.col("session_id")) & (F.col("last_no") - 1 == F.col("chunk_no")))
     merged = before.where((F.col("tail") <= config.tail_merge_words) & (F.col("words") + F.col("tail") <= config.max_words)).select("sid", "last_no")
     out = rows.join(merged, F.col("session_id").eqNullSafe(F.col("sid")) & (F.col("chunk_no") == F.col("last_no")), "left")
-    return out.select("session_id", "turn_no", "piece_no", F.when(F.col("last_no").isNotNull(), F.col("chunk_no") - 1).otherwise(F.col("chunk_no")).alias("chunk_id"))
+    return out.select("session_id", "turn_no", "piece_no", "n_words", F.when(F.col("last_no").isNotNull(), F.col("chunk_no") - 1).otherwise(F.col("chunk_no")).alias("chunk_id"))
 
 
 def chunk_turns(segments: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
@@ -155,7 +157,7 @@ def chunk_turns(segments: DataFrame, config: ChunkConfig = ChunkConfig()) -> Dat
     parts = turn_ops.pieces(turn_ops.merged(segments, config), config)
     of = assigned(parts, config)
     same = F.col("p.session_id").eqNullSafe(F.col("c.session_id")) & (F.col("p.turn_no") == F.col("c.turn_no")) & (F.col("p.piece_no") == F.col("c.piece_no"))
-    return parts.alias("p").join(of.alias("c"), same).select("p.session_id", "c.chunk_id", "p.turn_no", "p.piece_no", "p.speaker", "p.start_s", "p.end_s", "p.n_words", "p.text")
+    return parts.alias("p").join(of.alias("c"), same).select("p.session_id", "c.chunk_id", "p.turn_no", "p.piece_no", "p.speaker", "p.start_s", "p.end_s", "c.n_words", "p.text")
 
 
 def _listed(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.operators.scans import same_as_before
-from parlance.sources.shared import width, written
+from parlance.sources.shared import by_range, width, written
 
 INNER, HEAD, TAIL, WHOLE, GAP, SUM = range(6)
 SCHEMA = "part int, kind int, sure int, entity string, label string, s double, e double, n bigint, net bigint, low bigint"
@@ -90,7 +90,7 @@ def periods_and_gaps(intervals: DataFrame, entity: str, label: str, start: str,
     # one row per range: its number is bounded by the partitions of the shuffle, whatever the input
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carry = found.where(F.col("kind") == SUM).select("part", F.coalesce(F.sum("net").over(before), F.lit(0)).alias("carry"), "low").withColumn("right", F.col("carry") == F.col("low"))
-    rows = found.where(F.col("kind") != SUM).drop("net", "low").join(F.broadcast(carry.drop("low")), "part")
+    rows = found.where(F.col("kind") != SUM).drop("net", "low").join(by_range(carry.drop("low")), "part")
     rows = rows.where((F.col("sure") == 0) | ((F.col("sure") == 1) & F.col("right")) | ((F.col("sure") == 2) & ~F.col("right")))
 
     inner = rows.where(F.col("kind").isin(INNER, GAP)).select("entity", "label", F.when(F.col("kind") == GAP, "gap").otherwise("period").alias("kind"), "s", "e", "n")

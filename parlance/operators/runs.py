@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.operators.scans import same_as_before
-from parlance.sources.shared import width, written
+from parlance.sources.shared import by_range, width, written
 
 INNER, HEAD, TAIL, WHOLE = range(4)
-FIELDS = ["part", "kind", "entity", "label", "first_pos", "last_pos", "n", "s", "last_e", "e", "weight", "text"]
-SCHEMA = "part int, kind int, entity string, label string, first_pos bigint, last_pos bigint, n bigint, s double, last_e double, e double, weight bigint, text string"
+FIELDS = ["part", "kind", "k", "entity", "label", "first_pos", "last_pos", "n", "s", "last_e", "e", "weight", "text"]
+SCHEMA = "part int, kind int, k bigint, entity string, label string, first_pos bigint, last_pos bigint, n bigint, s double, last_e double, e double, weight bigint, text string"
 
 
 def local_runs(batch: pa.RecordBatch, max_gap: float) -> dict:
@@ -36,13 +36,20 @@ def encoder(max_gap: float):
 
     def encode(batches):
         part = TaskContext.get().partitionId()
-        names = FIELDS[2:]
+        names = FIELDS[3:]
         opened, seen = None, 0
+        entity, k = None, -1
 
         def out(rows: list[tuple], kinds: list[int]) -> pa.RecordBatch:
+            nonlocal entity, k
+            places = []
+            for row in rows:
+                k = k + 1 if k >= 0 and row[0] == entity else 0
+                entity = row[0]
+                places.append(k)
             cols = list(zip(*rows))
             types = [pa.string(), pa.string(), *[pa.int64()] * 3, *[pa.float64()] * 3, pa.int64(), pa.string()]
-            return pa.RecordBatch.from_arrays([pa.array([part] * len(rows), pa.int32()), pa.array(kinds, pa.int32()), *(pa.array(c, t) for c, t in zip(cols, types))], names=FIELDS)
+            return pa.RecordBatch.from_arrays([pa.array([part] * len(rows), pa.int32()), pa.array(kinds, pa.int32()), pa.array(places, pa.int64()), *(pa.array(c, t) for c, t in zip(cols, types))], names=FIELDS)
 
         for batch in batches:
             if not batch.num_rows:
@@ -72,16 +79,18 @@ def combined(a: tuple, b: tuple) -> tuple:
     return (*a[:3], b[3], a[4] + b[4], a[5], b[6], max(a[7], b[7]), a[8] + b[8], b[9] if a[9] is None else f"{a[9]} {b[9]}")
 
 
-def merged_runs(rows: DataFrame, max_gap: float) -> DataFrame:
+def merged_runs(rows: DataFrame, max_gap: float, numbered: bool = False) -> DataFrame:
     """Longest runs of rows that follow each other within an entity, have one label, and of which each starts
     at most max_gap after the end of the one before.
 
     rows: (entity, label, pos, s, e, weight) and perhaps text, s and e without nulls; null entities and labels are keys of
-    their own. Gives (entity, label, first_pos, last_pos, n, s, last_e, e, weight, text): last_e is the end of the last
-    row, e the latest, text the texts joined by blanks; no rows for none. Rows with equal s and pos come in order of e, label and weight.
+    their own. Gives (entity, label, first_pos, last_pos, n, s, last_e, e, weight, text, no, part): last_e is the end of
+    the last row, e the latest, text the texts joined by blanks, no, if numbered, the run's number within the
+    entity, from 1, by which (part, no) sorts them. No rows for none. Rows with equal s and pos come in order of e, label and weight.
 
     Rows are range-sorted by entity, s and pos, so a long entity spreads over many ranges. Each range encodes
-    its runs; its first and last, two rows a range at most, are merged with their neighbours'.
+    and numbers its runs; its first and last, two rows a range at most, are merged with their neighbours', and what
+    an entity had in the ranges before is added to its numbers, one row a range. No text moves for that.
     """
     order = ["entity", "s", "pos", "e", "label", "weight"]
     told = ["text"] if "text" in rows.columns else []
@@ -90,7 +99,20 @@ def merged_runs(rows: DataFrame, max_gap: float) -> DataFrame:
     w = Window.partitionBy("entity").orderBy("part", "kind")
     edges = found.where(F.col("kind") != INNER)
     joins = F.col("label").eqNullSafe(F.lag("label").over(w)) & (F.lag("part").over(w) < F.col("part")) & (F.col("s") - F.lag("last_e").over(w) <= max_gap)
-    edges = edges.withColumn("g", F.when(joins, 0).otherwise(1)).withColumn("g", F.sum("g").over(w)).withColumn("at", F.struct("part", "kind"))
-    across = edges.groupBy("entity", "g").agg(F.first("label").alias("label"), F.min_by("first_pos", "at").alias("first_pos"), F.max_by("last_pos", "at").alias("last_pos"), F.sum("n").alias("n"), F.min_by("s", "at").alias("s"), F.max_by("last_e", "at").alias("last_e"), F.max("e").alias("e"), F.sum("weight").alias("weight"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text"))
-    names = FIELDS[2:]
-    return found.where(F.col("kind") == INNER).select(*names).unionByName(across.select(*names))
+    edges = edges.withColumn("fresh", F.when(joins, 0).otherwise(1)).withColumn("g", F.sum("fresh").over(w)).withColumn("at", F.struct("part", "kind"))
+    # an entity is consecutive, so at most the first of a range has been in another before: one row a range
+    goes_on = edges.where(F.col("fresh") == 0).select(F.col("part").alias("_p"), F.col("entity").alias("_e"), F.lit(1).alias("goes_on"))
+    same = (F.col("part") == F.col("_p")) & F.col("entity").eqNullSafe(F.col("_e"))
+    sizes = found.groupBy("part", "entity").agg((F.max("k") + 1).alias("n")).join(by_range(goes_on), same, "left").withColumn("goes_on", F.coalesce("goes_on", F.lit(0))).drop("_p", "_e")
+    before = F.sum(F.col("n") - F.col("goes_on")).over(Window.partitionBy("entity").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offset = sizes.withColumn("offset", F.coalesce(before, F.lit(0)) - F.col("goes_on")).where(F.col("offset") != 0).select(F.col("part").alias("_p"), F.col("entity").alias("_e"), "offset")
+
+    def with_no(rows: DataFrame) -> DataFrame:
+        if not numbered:
+            return rows.withColumn("no", F.lit(None).cast("bigint"))
+        told = rows.join(by_range(offset), same, "left")
+        return told.withColumn("no", F.col("k") + 1 + F.coalesce("offset", F.lit(0)))
+
+    across = with_no(edges).groupBy("entity", "g").agg(F.first("label").alias("label"), F.min_by("first_pos", "at").alias("first_pos"), F.max_by("last_pos", "at").alias("last_pos"), F.sum("n").alias("n"), F.min_by("s", "at").alias("s"), F.max_by("last_e", "at").alias("last_e"), F.max("e").alias("e"), F.sum("weight").alias("weight"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text"), F.min("no").alias("no"), F.min("part").alias("part"))
+    names = [*FIELDS[3:], "no", "part"]
+    return with_no(found.where(F.col("kind") == INNER)).select(*names).unionByName(across.select(*names))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.sources.shared import width, written
+from parlance.sources.shared import by_range, width, written
 
 
 def same_as_before(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -64,7 +64,7 @@ def numbered_within(rows: DataFrame, entity: str, order: list[Column | str], as_
     before = Window.partitionBy(entity).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # an entity is consecutive, so only the first of a range has been in another before: one row a range
     going_on = sizes.withColumn("_before", F.sum("_n").over(before)).where(F.col("_before") > 0).select(F.col("part").alias("_p"), F.col(entity).alias("_e"), "_before")
-    out = placed.join(F.broadcast(going_on), (F.col("part") == F.col("_p")) & F.col(entity).eqNullSafe(F.col("_e")), "left")
+    out = placed.join(by_range(going_on), (F.col("part") == F.col("_p")) & F.col(entity).eqNullSafe(F.col("_e")), "left")
     return out.select(*rows.columns, (F.col("k") + 1 + F.coalesce("_before", F.lit(0))).alias(as_name))
 
 
@@ -74,7 +74,7 @@ def filled_forward(rows: DataFrame, order: list[Column | str], value: str, as_na
     here = Window.partitionBy("part").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     last = placed.where(F.col(value).isNotNull()).groupBy("part").agg(F.max_by(value, "k").alias("_last"))
     parts = placed.select("part").distinct().join(last, "part", "left")
-    # one row a range
+    # one row a range, with a value of any length: Spark decides by its size how to join it
     carried = parts.withColumn("_carry", F.last("_last", ignorenulls=True).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).select("part", "_carry")
-    out = placed.withColumn("_here", F.last(value, ignorenulls=True).over(here)).join(F.broadcast(carried), "part")
+    out = placed.withColumn("_here", F.last(value, ignorenulls=True).over(here)).join(carried, "part")
     return out.select(*rows.columns, F.coalesce("_here", "_carry").alias(as_name))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from parlance.config import ChunkConfig
 from parlance.functions.text import count_words, strip, tokens
 from parlance.operators.runs import merged_runs
-from parlance.operators.scans import numbered_within
 from parlance.operators.segments import delivered_once, stored_label
 
 
@@ -25,15 +24,15 @@ def normalized(segments: DataFrame) -> DataFrame:
 
 
 def merged(segments: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
-    """(session_id, turn_no, speaker, start_s, end_s, n_segments, text): segments in order of start and pos that
-    have one speaker and begin at most max_gap_s after the one before ended are one turn.
+    """(session_id, turn_no, speaker, start_s, end_s, n_segments, text, part): segments in order of start and pos that
+    have one speaker and begin at most max_gap_s after the one before ended are one turn. part numbers the range a
+    turn begins in; it and turn_no sort the turns of a session.
 
     A turn starts where its first and ends where its last segment does, even if an earlier one ended later.
     """
     rows = normalized(segments).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.lit(1).alias("weight"), "text")
-    runs = merged_runs(rows, config.max_gap_s)
-    turns = runs.select(F.col("entity").alias("session_id"), F.col("label").alias("speaker"), F.col("s").alias("start_s"), F.col("last_e").alias("end_s"), F.col("n").alias("n_segments"), "first_pos", "text")
-    return numbered_within(turns, "session_id", ["session_id", "start_s", "first_pos"], "turn_no")
+    runs = merged_runs(rows, config.max_gap_s, numbered=True)
+    return runs.select(F.col("entity").alias("session_id"), F.col("label").alias("speaker"), F.col("s").alias("start_s"), F.col("last_e").alias("end_s"), F.col("n").alias("n_segments"), "text", F.col("no").alias("turn_no"), "part")
 
 
 def pieces(turns: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
@@ -57,6 +56,15 @@ def speaker_paragraphs(segments: DataFrame) -> DataFrame:
     pos, without a rule on gaps."""
     rows = normalized(segments)
     at = F.col("pos").cast("double")
-    runs = merged_runs(rows.select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", at.alias("s"), at.alias("e"), F.lit(1).alias("weight"), "text"), float("inf"))
-    made = runs.select(F.col("entity").alias("session_id"), "first_pos", F.format_string("[%s] %s", "label", "text").alias("paragraph"))
-    return numbered_within(made, "session_id", ["session_id", "first_pos"], "paragraph_no").drop("first_pos")
+    runs = merged_runs(rows.select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", at.alias("s"), at.alias("e"), F.lit(1).alias("weight"), "text"), float("inf"), numbered=True)
+    return runs.select(F.col("entity").alias("session_id"), F.format_string("[%s] %s", "label", "text").alias("paragraph"), F.col("no").alias("paragraph_no"))
+
+
+def transcript_files(segments: DataFrame) -> DataFrame:
+    """(session_id, name, content): <session>.speaker.txt of every session, its paragraphs separated by blank lines.
+
+    A file is one value, so a transcript has to fit memory here; speaker_paragraphs gives the same in rows.
+    """
+    rows = speaker_paragraphs(segments).groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("paragraph_no", "paragraph"))).alias("x"))
+    content = F.concat(F.array_join(F.transform("x", lambda p: p["paragraph"]), "\n\n"), F.lit("\n"))
+    return rows.select("session_id", F.concat("session_id", F.lit(".speaker.txt")).alias("name"), content.alias("content"))

@@ -44,7 +44,7 @@ def format_timestamp(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def turns_merged(spark: SparkSession, folder: str) -> DataFrame:
-    return turns.merged(table(spark, folder, "segments"), CONFIG).drop("first_pos")
+    return turns.merged(table(spark, folder, "segments"), CONFIG).drop("part")
 
 
 def oversized_split(spark: SparkSession, folder: str) -> DataFrame:
