@@ -54,3 +54,9 @@ def require(**given: str | None) -> None:
     missing = sorted(k for k, v in given.items() if not (v or "").strip())
     if missing:
         raise ValueError("missing: " + ", ".join(missing))
+
+
+def exit_code(error: BaseException | None) -> int:
+    """0 without an error, 2 for what was asked wrongly or is missing, such as arguments, files, templates and
+    chunks, 1 for what failed on the way."""
+    return 0 if error is None else 2 if isinstance(error, (ValueError, FileNotFoundError)) else 1

@@ -67,9 +67,10 @@ def ascii_folded(text: pd.Series) -> pd.Series:
 def session_slug(text: Column, size: int = 80, default: str = "lesson") -> Column:
     """As slug, but accents are folded first and the cut may leave a hyphen at the end.
 
-    Plain ASCII text, the usual case, doesn't pass through Python.
+    Of plain ASCII text, the usual case, Python sees nulls only.
     """
-    folded = ascii_folded(text)
+    plain = F.octet_length(text) == F.length(text)
+    folded = F.when(plain, text).otherwise(ascii_folded(F.when(~plain, text)))
     made = F.regexp_replace(F.regexp_replace(F.lower(folded), "[^a-z0-9]+", "-"), "^-+|-+$", "")
     return first_filled(F.left(made, F.lit(size)), default)
 

@@ -108,3 +108,17 @@ def outcome(transcript: Column, chunks: Column, failed: Column) -> Column:
 def deletion(wanted: Column, transcript: Column, source: Column) -> Column:
     """What becomes of the source audio: the deletion itself isn't done here."""
     return F.when(~wanted, "no").when(~transcript, "skipped").when(source, "yes").otherwise("already missing")
+
+
+def status_lines(rows: DataFrame, profile: str) -> DataFrame:
+    """(session_id, line_no, line) of the status of rows (session_id, outcome, deleted), as outcome() and deletion()
+    give them. The texts are fixed values of the format; a lesson tells that nothing was said, a meeting that
+    there are no chunks."""
+    silent = ("no speech detected", "skipped (no chunks)") if profile == "lesson" else ("yes", "no chunks found")
+    of = F.col("outcome")
+    ending = F.when(F.col("deleted") == "skipped", "skipped (no transcript JSON found)").when(F.col("deleted") == "already missing", "source already missing").otherwise(F.col("deleted"))
+    chunking = F.when(of == "no_transcript", "no JSON found").when(of == "no_speech", silent[0]).otherwise("yes")
+    summaries = F.when(of == "no_transcript", None if profile == "lesson" else silent[1]).when(of == "no_speech", silent[1]).when(of == "failed", "failed").otherwise("yes")
+    lines = F.array(F.concat(F.lit("Source audio deleted after transcription: "), ending), F.concat(F.lit("Chunking: "), chunking), F.concat(F.lit("Summaries: "), summaries))
+    told = rows.select("session_id", F.posexplode(F.array_compact(lines)).alias("line_no", "line"))
+    return told.withColumn("line_no", F.col("line_no").cast("bigint") + 1)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import urllib.request
 from collections.abc import Callable
 from typing import Protocol
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from parlance.config import ModelConfig
 from parlance.functions.text import padded_id, rstrip, template
+from parlance.operators.scans import numbered_within
 from parlance.sources.shared import written
 
 #: The names of the outputs of each profile, in order. The templates are our own.
@@ -38,11 +38,13 @@ def http_model(config: ModelConfig, system: str = "") -> Callable[[], Summarizer
     """A model behind HTTP: one call per prompt, not streamed, not repeated; no answer is an empty string."""
 
     def make() -> Summarizer:
+        from urllib.request import Request, urlopen  # here, so that workers have it
+
         def ask(prompt: str) -> str:
             options = {"temperature": config.temperature} | ({"num_ctx": config.num_ctx} if config.num_ctx is not None else {})
             body = {"model": config.model, "prompt": prompt, "system": system, "stream": False, "keep_alive": config.keep_alive, "options": options}
-            request = urllib.request.Request(config.url.rstrip("/") + "/api/generate", json.dumps(body).encode(), {"Content-Type": "application/json"})
-            with urllib.request.urlopen(request, timeout=config.timeout_s) as answer:
+            request = Request(config.url.rstrip("/") + "/api/generate", json.dumps(body).encode(), {"Content-Type": "application/json"})
+            with urlopen(request, timeout=config.timeout_s) as answer:
                 return (json.loads(answer.read()).get("response") or "").strip()
 
         return ask
@@ -71,27 +73,47 @@ def chunk_prompt(text: str = CHUNK_TEMPLATE) -> Column:
     return template(text, chunk_id=F.col("chunk_id"), chunk_type=F.col("chunk_type"), speaker_span=F.col("speaker_span"), start_time=F.col("start_time"), end_time=F.col("end_time"), chunk_text=F.col("text"))
 
 
+def labelled(records: DataFrame) -> DataFrame:
+    """records with chunk_label: the chunk_id as text, or for a missing one `chunk-` and the record's place in its
+    session, by start_time and file_name, with three digits."""
+    known = F.col("chunk_id").isNotNull()
+    missing = records.where(~known)
+    plain = records.where(known).withColumn("chunk_label", F.col("chunk_id").cast("string"))
+    if missing.isEmpty():
+        return plain
+    order = ["session_id", "start_time", "file_name"]
+    places = numbered_within(records.select(*order, "chunk_id"), "session_id", [*order, "chunk_id"], "no").where(~known)
+    place = places.groupBy(*order).agg(F.min("no").alias("no")).select(*[F.col(c).alias("_" + c) for c in order], "no")
+    same = F.lit(True)
+    for c in order:
+        same = same & F.col(c).eqNullSafe(F.col("_" + c))
+    return plain.unionByName(missing.join(place, same).withColumn("chunk_label", summary_file(F.col("no"))).select(*plain.columns))
+
+
 def map_stage(records: DataFrame, model: Callable[[], Summarizer], calls: int | None = None, text: str = CHUNK_TEMPLATE) -> DataFrame:
-    """Chunk summaries: one call per chunk. A missing file_name is the session's id, a missing chunk_id is 0."""
-    prompts = records.withColumn("_prompt", chunk_prompt(text))
+    """Chunk summaries: one call per chunk. A missing file_name is the session's id, for a missing chunk_id see
+    labelled(); other missing fields of the summary row are null or empty."""
+    prompts = labelled(records).withColumn("_prompt", chunk_prompt(text))
     found = answered(prompts, "_prompt", "summary", model, calls)
-    return found.select("session_id", F.coalesce("chunk_id", F.lit(0)).alias("chunk_id"), F.coalesce("file_name", "session_id").alias("file_name"), "start_time", "end_time", "speaker_span", "chunk_type", "summary")
+    empty = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return found.select("session_id", "chunk_id", "chunk_label", F.coalesce("file_name", "session_id").alias("file_name"), "start_time", "end_time", empty("speaker_span"), empty("chunk_type"), "summary")
 
 
-def block() -> Column:
+def block(label: Column) -> Column:
     """What the reduce stage reads of one chunk; its headings are fixed values of the format."""
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return F.concat(F.lit("# Chunk "), value("chunk_id"), F.lit("\n- File: "), value("file_name"), F.lit("\n- Time range: "), value("start_time"), F.lit(" to "), value("end_time"), F.lit("\n- Speaker span: "), value("speaker_span"), F.lit("\n\n"), value("summary"))
+    return F.concat(F.lit("# Chunk "), F.coalesce(label, F.lit("")), F.lit("\n- File: "), value("file_name"), F.lit("\n- Time range: "), value("start_time"), F.lit(" to "), value("end_time"), F.lit("\n- Speaker span: "), value("speaker_span"), F.lit("\n\n"), value("summary"))
 
 
 def reduce_input(summaries: DataFrame) -> DataFrame:
     """(session_id, n_chunks, combined): the blocks of a session in order of chunk_id, separated by blank lines.
 
-    Repeated rows of a key count once. The model reads a session as one prompt, so it is one value here.
+    Repeated rows of a key count once; the key is chunk_label where there is one, else chunk_id. The model reads a session as one prompt, so it is one value here.
     """
-    once = summaries.groupBy("session_id", "chunk_id").agg(F.min(F.struct("file_name", "start_time", "end_time", "speaker_span", "summary")).alias("x")).select("session_id", "chunk_id", "x.*")
-    blocks = once.select("session_id", "chunk_id", block().alias("block"))
-    listed = F.array_sort(F.collect_list(F.struct("chunk_id", "block")))
+    label = F.col("chunk_label") if "chunk_label" in summaries.columns else F.col("chunk_id").cast("string")
+    once = summaries.groupBy("session_id", "chunk_id", label.alias("label")).agg(F.min(F.struct("file_name", "start_time", "end_time", "speaker_span", "summary")).alias("x")).select("session_id", "chunk_id", "label", "x.*")
+    blocks = once.select("session_id", "chunk_id", "label", block(F.col("label")).alias("block"))
+    listed = F.array_sort(F.collect_list(F.struct("chunk_id", "label", "block")))
     return blocks.groupBy("session_id").agg(F.count(F.lit(1)).alias("n_chunks"), F.array_join(F.transform(listed, lambda x: x["block"]), "\n\n").alias("combined"))
 
 
@@ -112,5 +134,6 @@ def reduce_stage(summaries: DataFrame, profile: str, model: Callable[[], Summari
     return found.select("session_id", "profile", "ord", "output_name", F.concat(rstrip(F.col("content")), F.lit("\n")).alias("content"))
 
 
-def summary_file(chunk_id: Column) -> Column:
-    return F.concat(F.lit("chunk-"), padded_id(chunk_id))
+def summary_file(number: Column) -> Column:
+    """The name of a chunk that has no id."""
+    return F.concat(F.lit("chunk-"), padded_id(number))

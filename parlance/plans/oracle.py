@@ -64,6 +64,20 @@ _BLOCKS = f"""b AS (SELECT DISTINCT session_id, chunk_id, '# Chunk ' || {_TEXT('
 r AS (SELECT session_id, count(*) AS n_chunks, string_agg(block, chr(10) || chr(10) ORDER BY chunk_id) AS combined FROM b GROUP BY session_id)"""
 _OUTPUTS = " UNION ALL ".join(f"SELECT {i} AS ord, '{n}' AS output_name" for i, n in enumerate(("lesson-notes.md", "flashcards.md", "quiz.md", "review-sheet.md"), 1))
 
+_STATUS = f"WITH l AS (SELECT session_id FROM {_LATEST}), m AS (SELECT session_id, count(DISTINCT chunk_id) AS n FROM chunk_index GROUP BY 1), x AS (SELECT l.session_id, l.session_id IN (SELECT session_id FROM segments WHERE session_id IS NOT NULL) AS t, m.n, l.session_id IN (SELECT session_id FROM chunk_summaries WHERE session_id IS NOT NULL) AS s FROM l LEFT JOIN m USING (session_id)) SELECT session_id, coalesce(n, 0) AS n_chunks, CASE WHEN NOT t THEN 'no_transcript' WHEN coalesce(n, 0) > 0 AND NOT s THEN 'failed' WHEN coalesce(n, 0) = 0 THEN 'no_speech' ELSE 'yes' END AS outcome, CASE WHEN NOT s THEN 'no' WHEN NOT t THEN 'skipped' WHEN n IS NOT NULL THEN 'yes' ELSE 'already missing' END AS deleted FROM x"
+_DELETED = "'Source audio deleted after transcription: ' || CASE deleted WHEN 'skipped' THEN 'skipped (no transcript JSON found)' WHEN 'already missing' THEN 'source already missing' ELSE deleted END"
+_LINES = {
+    "lesson": ("CASE outcome WHEN 'no_transcript' THEN 'no JSON found' WHEN 'no_speech' THEN 'no speech detected' ELSE 'yes' END", "CASE outcome WHEN 'no_speech' THEN 'skipped (no chunks)' WHEN 'failed' THEN 'failed' ELSE 'yes' END"),
+    "meeting": ("CASE outcome WHEN 'no_transcript' THEN 'no JSON found' ELSE 'yes' END", "CASE outcome WHEN 'no_transcript' THEN 'no chunks found' WHEN 'no_speech' THEN 'no chunks found' WHEN 'failed' THEN 'failed' ELSE 'yes' END"),
+}
+_LOG = " UNION ALL ".join(
+    f"SELECT session_id, '{k}' AS profile, CAST(1 AS BIGINT) AS line_no, {_DELETED} AS line FROM st UNION ALL SELECT session_id, '{k}', 2, 'Chunking: ' || {c} FROM st UNION ALL SELECT session_id, '{k}', 3, 'Summaries: ' || {m} FROM st" + (" WHERE outcome <> 'no_transcript'" if k == "lesson" else "")
+    for k, (c, m) in _LINES.items()
+)
+_COLUMNS = "session_id, file_name, chunk_id, chunk_type, speaker_span, speaker_count, start_time, end_time, word_count"
+_MEETING = " UNION ALL ".join(f"SELECT {i} AS ord, '{n}' AS output_name" for i, n in enumerate(("summary.md", "action-items.md", "minutes-draft.md"), 1))
+_PARAGRAPHS = f"WITH {_NORMAL}, f AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER (PARTITION BY session_id ORDER BY pos) THEN 0 ELSE 1 END AS fresh FROM n), g AS (SELECT *, sum(fresh) OVER (PARTITION BY session_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS k FROM f) SELECT session_id, CAST(k AS BIGINT) AS paragraph_no, '[' || any_value(speaker) || '] ' || string_agg(text, ' ' ORDER BY pos) AS paragraph FROM g GROUP BY session_id, k"
+
 ORACLE: dict[str, str] = {
     "p1_found": _STRETCHES
     + """SELECT session_id, speaker, 'period' AS kind, CAST(round(s * 1000) AS BIGINT) AS start_ms, CAST(round(e * 1000) AS BIGINT) AS end_ms FROM q WHERE n >= 2
@@ -78,7 +92,8 @@ SELECT session_id, speaker, 'gap', CAST(round(e * 1000) AS BIGINT), CAST(round(n
     "format_timestamp": f"SELECT seg_id, {_CLOCK('start_s')} AS clock FROM segments WHERE start_s IS NOT NULL",
     "turns_merged": f"WITH {_TURNS} SELECT * FROM turns",
     "oversized_split": f"WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), cut AS (SELECT doc_id, {_CUT('text')} AS parts FROM d), p AS (SELECT doc_id, unnest(generate_series(0, len(parts) - 1)) AS piece_no, unnest(parts) AS text FROM cut) SELECT doc_id, piece_no, text, {_COUNT('text')} AS n_words FROM p",
-    "speaker_transcript": f"WITH {_NORMAL}, f AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER (PARTITION BY session_id ORDER BY pos) THEN 0 ELSE 1 END AS fresh FROM n), g AS (SELECT *, sum(fresh) OVER (PARTITION BY session_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS k FROM f) SELECT session_id, CAST(k AS BIGINT) AS paragraph_no, '[' || any_value(speaker) || '] ' || string_agg(text, ' ' ORDER BY pos) AS paragraph FROM g GROUP BY session_id, k",
+    "speaker_transcript": _PARAGRAPHS,
+    "transcript_files": f"SELECT session_id, session_id || '.speaker.txt' AS name, string_agg(paragraph, chr(10) || chr(10) ORDER BY paragraph_no) || chr(10) AS content FROM ({_PARAGRAPHS}) GROUP BY session_id",
     "chunk_assign": f"WITH RECURSIVE {_PACKED} SELECT session_id, turn_no, piece_no, n_words, chunk_no FROM seq JOIN fold USING (session_id, i)",
     "tail_merge": f"WITH RECURSIVE {_CHUNKS} SELECT session_id, chunk_id, count(*) AS n_pieces FROM c GROUP BY ALL",
     "chunk_records": f"WITH RECURSIVE {_RECORDS} SELECT session_id, file_name, chunk_id, chunk_type, speaker_span, speaker_count, start_time, end_time, word_count, text FROM rec",
@@ -100,9 +115,15 @@ SELECT session_id, speaker, 'gap', CAST(round(e * 1000) AS BIGINT), CAST(round(n
     "url_trimmed": "SELECT log_id, regexp_replace(url, '/+$', '') AS url FROM sessions",
     "session_extra": "SELECT log_id, CASE WHEN extra IS NULL OR json_valid(extra) THEN extra ELSE CAST(json_object('raw', extra) AS VARCHAR) END AS extra FROM sessions",
     "redacted_command": "SELECT log_id, 'transcribe --hf_token [REDACTED] --language en ' || coalesce(url, '') AS command FROM sessions WHERE session_id IS NOT NULL UNION ALL SELECT log_id, NULL FROM sessions WHERE session_id IS NULL",
-    "status_outcome": f"WITH l AS (SELECT session_id FROM {_LATEST}), m AS (SELECT session_id, count(DISTINCT chunk_id) AS n FROM chunk_index GROUP BY 1), x AS (SELECT l.session_id, l.session_id IN (SELECT session_id FROM segments WHERE session_id IS NOT NULL) AS t, m.n, l.session_id IN (SELECT session_id FROM chunk_summaries WHERE session_id IS NOT NULL) AS s FROM l LEFT JOIN m USING (session_id)) SELECT session_id, coalesce(n, 0) AS n_chunks, CASE WHEN NOT t THEN 'no_transcript' WHEN coalesce(n, 0) > 0 AND NOT s THEN 'failed' WHEN coalesce(n, 0) = 0 THEN 'no_speech' ELSE 'yes' END AS outcome, CASE WHEN NOT s THEN 'no' WHEN NOT t THEN 'skipped' WHEN n IS NOT NULL THEN 'yes' ELSE 'already missing' END AS deleted FROM x",
+    "status_outcome": _STATUS,
     "prompt_render": f"SELECT session_id, chunk_id, {_PROMPT} AS prompt FROM (SELECT DISTINCT * FROM chunk_index)",
-    "map_summaries": f"SELECT session_id, chunk_id, coalesce(file_name, session_id) AS file_name, {_FIRST(_PROMPT)} AS summary FROM (SELECT DISTINCT * FROM chunk_index)",
+    "map_summaries": f"SELECT session_id, chunk_id, CAST(chunk_id AS VARCHAR) AS chunk_label, coalesce(file_name, session_id) AS file_name, {_FIRST(_PROMPT)} AS summary FROM (SELECT DISTINCT * FROM chunk_index)",
     "reduce_input": f"WITH {_BLOCKS} SELECT * FROM r",
     "reduce_outputs": f"WITH {_BLOCKS}, o AS ({_OUTPUTS}) SELECT session_id, 'lesson' AS profile, CAST(ord AS BIGINT) AS ord, output_name, {_FIRST('combined')} || chr(10) AS content FROM r, o",
+    "reduce_meeting": f"WITH {_BLOCKS}, o AS ({_MEETING}) SELECT session_id, 'meeting' AS profile, CAST(ord AS BIGINT) AS ord, output_name, {_FIRST('combined')} || chr(10) AS content FROM r, o",
+    "status_log": f"WITH st AS ({_STATUS}) {_LOG}",
+    "transcripts_read": "SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY pos) - 1 AS pos, start_s, end_s, speaker, text FROM (SELECT * FROM segments WHERE session_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY session_id, pos ORDER BY seg_id) = 1)",
+    "index_read_json": "SELECT DISTINCT * FROM chunk_index",
+    "index_read_csv": f"SELECT DISTINCT {_COLUMNS}, nullif(text, '') AS text FROM chunk_index",
+    "summaries_read": f"SELECT session_id, chunk_id, coalesce(file_name, session_id) AS file_name, {_FIRST(_PROMPT)} AS summary FROM (SELECT DISTINCT * FROM chunk_index)",
 }

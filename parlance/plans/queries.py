@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from parlance.config import ChunkConfig
 from parlance.functions import text
 from parlance.operators import chunks, intervals, sessions, summarize, turns
-from parlance.operators.segments import milliseconds
-from parlance.sources import sinks
+from parlance.operators.segments import delivered_once, milliseconds
+from parlance.sources import sinks, transcripts
+from parlance.sources.shared import place
 from parlance.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,7 +188,7 @@ def prompt_render(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def map_summaries(spark: SparkSession, folder: str) -> DataFrame:
-    return summarize.map_stage(_index(spark, folder), summarize.first_words(), calls=8).select("session_id", "chunk_id", "file_name", "summary")
+    return summarize.map_stage(_index(spark, folder), summarize.first_words()).select("session_id", "chunk_id", "chunk_label", "file_name", "summary")
 
 
 def reduce_input(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,7 +196,52 @@ def reduce_input(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reduce_outputs(spark: SparkSession, folder: str) -> DataFrame:
-    return summarize.reduce_stage(table(spark, folder, "chunk_summaries"), "lesson", summarize.first_words(), calls=8)
+    return summarize.reduce_stage(table(spark, folder, "chunk_summaries"), "lesson", summarize.first_words())
+
+
+def reduce_meeting(spark: SparkSession, folder: str) -> DataFrame:
+    return summarize.reduce_stage(table(spark, folder, "chunk_summaries"), "meeting", summarize.first_words())
+
+
+def transcript_files(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.transcript_files(table(spark, folder, "segments"))
+
+
+def status_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The status of every session as if it were a lesson, and as if it were a meeting."""
+    rows = status_outcome(spark, folder)
+    return sessions.status_lines(rows, "lesson").withColumn("profile", F.lit("lesson")).unionByName(sessions.status_lines(rows, "meeting").withColumn("profile", F.lit("meeting")))
+
+
+def transcripts_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments, each once, written as one JSON document a session and read again."""
+    rows = delivered_once(table(spark, folder, "segments"), F.col("start_s"), F.col("end_s"), F.col("speaker"), F.col("text"))
+    at = place(spark, "transcripts")
+    sinks.write_documents_of_segments(rows, at)
+    return transcripts.read_transcripts(spark, at)
+
+
+def index_read_json(spark: SparkSession, folder: str) -> DataFrame:
+    """The chunk index written as JSON lines and read again."""
+    at = place(spark, "index-json")
+    sinks.write_index(_index(spark, folder), at)
+    return transcripts.read_chunk_index(spark, at)
+
+
+def index_read_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The chunk index written as CSV and read again; CSV has no text that is empty but not null."""
+    at = place(spark, "index-csv")
+    names = [f.name for f in transcripts.RECORD.fields]
+    sinks.write_index(_index(spark, folder).select(*names), at, "csv")
+    return transcripts.read_chunk_table(spark, at)
+
+
+def summaries_read(spark: SparkSession, folder: str) -> DataFrame:
+    """The map stage's rows written as JSON lines and read again."""
+    at = place(spark, "summaries")
+    made = summarize.map_stage(_index(spark, folder), summarize.first_words())
+    sinks.write_summaries(made, at)
+    return spark.read.schema(made.schema).json(at).select("session_id", "chunk_id", "file_name", "summary")
 
 
 QUERIES: dict[str, Query] = {
@@ -204,6 +250,6 @@ QUERIES: dict[str, Query] = {
         p1_found, p1_timeline, segments_normalized, word_count, format_timestamp, turns_merged, oversized_split, speaker_transcript, chunk_assign, tail_merge,
         chunk_records, speaker_span, chunk_markdown, chunk_manifest, session_slug, session_id, session_latest, session_current, session_conflicts, session_stops,
         session_changes, metadata_lookup, metadata_artefacts, latest_recording, newest_file, file_parts, url_trimmed, session_extra, redacted_command, status_outcome,
-        prompt_render, map_summaries, reduce_input, reduce_outputs,
+        prompt_render, map_summaries, reduce_input, reduce_outputs, reduce_meeting, transcript_files, status_log, transcripts_read, index_read_json, index_read_csv, summaries_read,
     )
 }

@@ -35,6 +35,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def place(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed as those of written() are."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _tables.append((spark, path))
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, computed once, written as Parquet to the shared folder and read from there.
 
@@ -43,8 +50,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     scratch() it was written in, or the end of the process.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _tables.append((spark, path))
+    path = place(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -35,16 +35,34 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
 def read_chunk_index(spark: SparkSession, path: str) -> DataFrame:
     """A chunk index of JSON lines; blank lines are skipped, a bad line fails the read, no rows raise NoChunks."""
     found = spark.read.schema(RECORD).option("mode", "FAILFAST").json(path)
-    if found.isEmpty():
+    if found.isEmpty():  # reads up to the first record
         raise NoChunks(f"no chunks in {path}")
     return found
 
 
+def read_chunk_table(spark: SparkSession, path: str) -> DataFrame:
+    """A chunk index of CSV files with headers, quotes doubled; an empty cell is null, a quoted one an empty text."""
+    return spark.read.schema(RECORD).option("header", True).option("escape", '"').option("multiLine", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("mode", "FAILFAST").csv(path)
+
+
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     """Session records, one JSON document a file; a broken file becomes a row of nulls. extra stays JSON text."""
     return spark.read.schema(SESSION).option("multiLine", True).json(path)
 
 
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """Metadata sidecars, one JSON document a file: a session's fields and where its recording, transcript and
+    summary lie. A broken file becomes a row of nulls."""
+    more = [T.StructField(n, T.StringType()) for n in ("recording_file", "transcript_dir", "summary_dir")]
+    return spark.read.schema(T.StructType([*SESSION.fields, *more])).option("multiLine", True).json(path)
+
+
+def read_pointer(spark: SparkSession, path: str) -> DataFrame:
+    """(target, name): what pointer files, each one path as text, point to; blank files give no row."""
+    found = spark.read.option("wholetext", True).text(path).select(F.trim(F.regexp_replace("value", r"\s+$", "")).alias("target"))
+    return found.where(F.col("target") != "").select("target", F.regexp_extract("target", r"([^/]*)/*$", 1).alias("name"))
+
+
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(name, at) of the files of a folder."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.col("modificationTime").alias("at"))
