@@ -62,19 +62,34 @@ def name_parts(text: str) -> tuple[str, str] | None:
     return (words[0], words[-1]) if len(words) > 1 else None
 
 
+def room(longer: int) -> int:
+    """The letters two spellings of a name may differ in, by the longer one's length: one in seven, two at most;
+    none in names of more than forty letters."""
+    return min(2, longer // 7) if longer <= 40 else 0
+
+
 def alike(a: str, b: str) -> bool:
-    """Equal, or at most one letter in seven changed, added or lost."""
+    """Equal, or no more letters changed, added or lost than there is room for."""
     if a == b:
         return True
-    room = max(len(a), len(b)) // 7
-    if not room or abs(len(a) - len(b)) > room:
+    most = room(max(len(a), len(b)))
+    if not most or abs(len(a) - len(b)) > most:
         return False
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         diagonal, row[0] = row[0], i
         for j, y in enumerate(b, 1):
             diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
-    return row[-1] <= room
+    return row[-1] <= most
+
+
+def shortened(word: str) -> set[str]:
+    """The word and what is left of it without as many letters as it has room for. Two words that are alike share
+    one of these, since each loses what the other lacks."""
+    out = {word}
+    for _ in range(room(len(word))):
+        out |= {w[:i] + w[i + 1 :] for w in out for i in range(len(w))}
+    return out
 
 
 class Clusters:
@@ -102,7 +117,8 @@ def cluster_names(labels: list[str], numbers: list[str | None]) -> list[str]:
 
     labels are distinct spellings, numbers the known speaker of those that are display names. Spellings meet
     only others with the same initials: first equal ones, then abbreviations that fit one given name alone,
-    then names that differ by a letter. A cluster without a known speaker is named by its longest spelling.
+    then names that differ by a letter, which meet where they share a shortened form and not pair by pair. A
+    cluster without a known speaker is named by its longest spelling.
     """
     parts = [name_parts(x) for x in labels]
     clusters = Clusters(numbers)
@@ -118,15 +134,23 @@ def cluster_names(labels: list[str], numbers: list[str | None]) -> list[str]:
             clusters.join(group[0], i)
     for block in blocks.values():
         full = [p for p in block if len(p[0]) > 1]
+        by_family: dict[str, list[tuple[str, str]]] = {}
+        for q in full:
+            by_family.setdefault(q[1], []).append(q)
         for p in block:
-            if len(p[0]) == 1:
-                fits = [q for q in full if q[1] == p[1]]
-                if len(fits) == 1:
-                    clusters.join(block[fits[0]][0], block[p][0])
+            if len(p[0]) == 1 and len(fits := by_family.get(p[1], [])) == 1:
+                clusters.join(block[fits[0]][0], block[p][0])
+        near: dict[tuple[str, str], list[int]] = {}
+        pairs = set()
         for k, p in enumerate(full):
-            for q in full[k + 1 :]:
-                if alike(p[0], q[0]) and alike(p[1], q[1]):
-                    clusters.join(block[p][0], block[q][0])
+            for given in shortened(p[0]):
+                for family in shortened(p[1]):
+                    met = near.setdefault((given, family), [])
+                    pairs.update((j, k) for j in met)
+                    met.append(k)
+        for j, k in sorted(pairs):
+            if alike(full[j][0], full[k][0]) and alike(full[j][1], full[k][1]):
+                clusters.join(block[full[j]][0], block[full[k]][0])
     longest: dict[int, str] = {}
     for i, x in enumerate(labels):
         root, tidy = clusters.find(i), " ".join(x.split())
