@@ -50,6 +50,21 @@ def test_clusters():
     assert got["Odd One"] == got["ODD ONE"] and got["Solo"] == "Solo"
 
 
+def test_many_names_of_one_block():
+    """Names that differ by a letter meet as all pairs would, without making them."""
+    from parlance.operators.segments import alike, shortened
+
+    r = random.Random(4)
+    words = ["".join(r.choices("abc", k=r.choice([5, 6, 7, 8, 13, 14, 15]))) for _ in range(250)]
+    words += [w[:3] + r.choice(["", "b"]) + w[4:] for w in words[:120]]
+    for a in words:
+        for b in words:
+            if alike(a, b):
+                assert shortened(a) & shortened(b)
+    many = [f"Corinna Vel{i:05d}moor" for i in range(0, 30000, 7)]
+    assert len(set(cluster_names(many, [None] * len(many)))) < len(many)
+
+
 CASES = [
     ("en", "[00:01:02] SPEAKER_00: Um, we meet at 14:30 [laughs] (second draft), you know, um uh today", "we meet at 14:30 (second draft) today"),
     ("en", ">> Speaker 3: uh... kind of nice", "kind of nice"),
