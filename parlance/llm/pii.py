@@ -13,18 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.llm.pii_table import CALENDAR, COMMON_GIVEN, MARKED, PLACE_WORDS, STREET_ENDS, STREET_WORDS, TITLES, UNMARKED, Filler
-from parlance.llm.turns import HESITATIONS
+from parlance.llm.turns import HESITATIONS, PHRASES
 from parlance.operators.segments import LAST, delivered_once
 
 #: Labels; the first stands for everything else.
 LABELS = ("other", "email", "phone", "id_number", "address", "name")
 SLOTS = {"email": 1, "phone": 2, "id": 3, "address": 4, "foreign": 4, "name": 5, "given": 5, "titled": 5, "reversed": 5, "initial": 5, "label": 5, "spelled": 1}
 #: A plain word; an address of mail; a time of day; digits in groups, perhaps with a plus or in brackets; any other
-#: word; any other sign. Each is one token, so that a number is judged by its whole form.
-TOKEN = re.compile(r"[^\W\d_]++(?![\w.+\-@])|\w++(?:[.+\-]\w++)*+@\w++(?:[.\-]\w++)*\.[^\W\d_]{2,}+|\d++(?::\d\d)++(?:[.,]\d++)?+|\(?(?:\+\d{1,3}\)?[ \-]?)?\(?\d++(?:\)[ \-]?\d++|(?: +|[.\-/,])\d++)*+(?!\w)|\w++|[^\w\s]")
+#: word; an empty phrase set off by commas; any other sign. Each is one token, so that a number is judged by its whole form.
+TOKEN = re.compile(r"[^\W\d_]++(?![\w.+\-@])|\w++(?:[.+\-]\w++)*+@\w++(?:[.\-]\w++)*\.[^\W\d_]{2,}+|\d++(?::\d\d)++(?:[.,]\d++)?+|\(?(?:\+\d{1,3}\)?[ \-]?)?\(?\d++(?:\)[ \-]?\d++|(?: +|[.\-/,])\d++)*+(?!\w)|\w++|,\s*+(?i:" + "|".join(p.replace(" ", r"\s+") for p in PHRASES.values()) + r")\s*+,|[^\w\s]")
 #: Stands between texts; a token of its own that is never personal.
 BORDER = "\x01"
 REACH = 2
+STOPS = (",", ".", "…")
 _NUMBER_WORDS = frozenset("zero oh one two three four five six seven eight nine".split())
 _COMMON = frozenset(x.lower() for x in COMMON_GIVEN)
 _TITLES = frozenset(TITLES)
@@ -49,6 +50,21 @@ def form_of(token: str) -> str:
     return token
 
 
+def fills(form: str) -> bool:
+    """Whether a token is a hesitation or an empty phrase: nothing that was said."""
+    return form[0] == "," and len(form) > 1 or form.isalpha() and HESITATION.fullmatch(form.lower()) is not None
+
+
+def unfilled(tokens: list[str]) -> list[int]:
+    """The places of tokens that were said: no fillers, and none of the three stops at most that follow one."""
+    kept, after = [], 4
+    for i, t in enumerate(tokens):
+        after = 0 if fills(form_of(t)) else after + 1 if t in STOPS else 4
+        if after > 3:
+            kept.append(i)
+    return kept
+
+
 def shape(token: str) -> str:
     """Letters by case, other signs as they are."""
     if token.isalpha():
@@ -61,6 +77,7 @@ class Features:
 
     def __init__(self, given: frozenset[str], family: frozenset[str]):
         self.given, self.family = given, family
+        self.names = given | family | _COMMON
 
     def __call__(self, form: str) -> list[str]:
         if form == "\x02mail":
@@ -75,8 +92,6 @@ class Features:
             groups = re.sub(r"9+", lambda m: str(min(len(m[0]), 9)), body)
             return ["s=number", f"n={min(n, 15)}", f"n={min(n, 15)}{signs}{letters}", "g=" + groups, "d=" + signs + letters, "l=" + lead + letters, f"r={'small' if n < 4 else 'zip' if n < 6 else 'long'}{letters}"]
         low, looks = form.lower(), shape(form)
-        if HESITATION.fullmatch(low):
-            return ["hesitation"]
         out = ["s=" + looks, "w=" + low]
         if len(low) > 4 and form.isalpha():
             out += ["3=" + low[-3:], "4=" + low[-4:]]
@@ -102,6 +117,7 @@ class Model:
         self.features, self.names, self.weights, self.transitions, self.lean = features, names, weights, transitions, lean
         self.cache: dict[str, int] = {}
         self.vectors = np.zeros((1024, 2 * REACH + 1, len(LABELS)), np.float32)
+        self.filler = np.zeros(1024, bool)
         t = transitions
         #: the most a label other than `other` can gain by its transitions
         self.gain = np.array([max(t[a, y] + t[y, b] - t[a, 0] - t[0, b] for a in range(len(LABELS)) for b in range(len(LABELS))) for y in range(len(LABELS))])
@@ -120,6 +136,8 @@ class Model:
             at = len(self.cache)
             if at == len(self.vectors):
                 self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
+                self.filler = np.concatenate([self.filler, np.zeros_like(self.filler)])
+            self.filler[at] = fills(key)
             for d in range(-REACH, REACH + 1):
                 rows = [self.names[n] for f in self.features(key) if (n := f"{d}{f}") in self.names]
                 self.vectors[at, d + REACH] = self.weights[rows].sum(0) if rows else 0
@@ -128,13 +146,15 @@ class Model:
             self.cache[key] = at
         return at
 
-    def emissions(self, tokens: list[str]) -> np.ndarray:
+    def numbers(self, tokens: list[str]) -> np.ndarray:
         if len(self.cache) > 400_000:
             self.cache.clear()
         get, number = self.cache.get, self.number
-        ids = np.array([i if (i := get(t)) is not None else number(t) for t in tokens], np.int64)
+        return np.array([i if (i := get(t)) is not None else number(t) for t in tokens], np.int64)
+
+    def emissions(self, ids: np.ndarray) -> np.ndarray:
         scores = np.zeros((len(ids), len(LABELS)), np.float32)
-        border = ids == number(BORDER)
+        border = ids == self.number(BORDER)
         for d in range(-REACH, REACH + 1):
             # the vector of distance d holds what a token says of the one d places after it, unless a border
             # lies between
@@ -151,18 +171,26 @@ class Model:
         return scores
 
     def decode(self, tokens: list[str]) -> np.ndarray:
-        """The best label of every token.
+        """The best label of every token; fillers and the stops after them are passed over, so that what
+        stands around them meets, and are `other`.
 
         A token whose score for `other` beats every label by more than transitions can make up is `other` on
         the best path. Such tokens cut the text into short stretches, each decoded by Viterbi on its own, all
         stretches of a length at once.
         """
-        out = np.zeros(len(tokens), np.int8)
+        labels = np.zeros(len(tokens), np.int8)
         if not tokens:
-            return out
-        e = self.emissions(tokens)
+            return labels
+        ids = self.numbers(tokens)
+        filler, stops = self.filler[ids], np.isin(ids, [self.number(c) for c in STOPS])
+        for _ in range(3):
+            filler[1:] |= filler[:-1] & stops[1:]
+        said = np.flatnonzero(~filler)
+        ids = ids[said]
+        out = np.zeros(len(ids), np.int8)
+        e = self.emissions(ids)
         open_ = ((e[:, 1:] + self.gain[1:]) >= e[:, :1]).any(1)
-        open_ &= np.array([t != BORDER for t in tokens])
+        open_ &= ids != self.number(BORDER)
         edge = np.diff(np.concatenate([[0], open_.astype(np.int8), [0]]))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         lengths = ends - starts
@@ -170,7 +198,8 @@ class Model:
             at = starts[lengths == n]
             for a in range(0, len(at), 1 << 15):
                 out[at[a : a + (1 << 15), None] + np.arange(n)] = self.viterbi(e[at[a : a + (1 << 15), None] + np.arange(n)])
-        return out
+        labels[said] = out
+        return labels
 
     def viterbi(self, e: np.ndarray) -> np.ndarray:
         """Best paths through scores of shape (stretches, length, labels), `other` before and after."""
@@ -251,7 +280,8 @@ def train(given: tuple[str, ...], family: tuple[str, ...], known_given: frozense
     """Maximum likelihood with a quadratic penalty, by Adam over the whole table; forward and backward sums in
     batches of equal length. given and family fill the table, known_given and known_family are what is looked up.
     The table bounds the training: rounds times its rows. Features seen fewer than `least` times are left out."""
-    data = sorted(labelled(list(given), list(family), rounds), key=lambda x: len(x[0]))
+    data = [([t[i] for i in at], [y[i] for i in at]) for t, y in labelled(list(given), list(family), rounds) for at in [unfilled(t)]]
+    data.sort(key=lambda x: len(x[0]))
     features = Features(known_given, known_family)
     names: dict[str, int] = {}
     of_token = {t: features(form_of(t)) for t in {t for tokens, _ in data for t in tokens}}
@@ -328,8 +358,9 @@ def trained(known_names: DataFrame, fill_names: int = 5000, most_names: int = 2_
 _MAIL = re.compile(r"(?i)@|\bat\b|\bdot\b")
 
 
-def plausible(label: int, tokens: list[str]) -> bool:
-    """Whether a passage can be what it is taken for: an address of mail has its sign, numbers their digits."""
+def plausible(label: int, tokens: list[str], names: frozenset[str] = frozenset()) -> bool:
+    """Whether a passage can be what it is taken for: an address of mail has its sign, numbers their digits, and a name
+    a capital or a word of the lists."""
     text = " ".join(tokens)
     digits = sum(c.isdigit() for c in text)
     if label == 1:
@@ -340,7 +371,7 @@ def plausible(label: int, tokens: list[str]) -> bool:
         return digits >= 6
     if label == 4:
         return digits >= 1 and any(t.isalpha() for t in tokens)
-    return any(t.isalpha() and len(t) > 2 for t in tokens)
+    return any(t.isalpha() and len(t) > 2 and (t[0].isupper() or t.lower() in names) for t in tokens)
 
 
 def passages(labels: np.ndarray) -> list[tuple[int, int, int]]:
@@ -363,7 +394,7 @@ def marks(model: Model, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     begins = np.array([i + 1 for i, t in enumerate(tokens) if t == BORDER])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for a, b, k in passages(labels):
-        if plausible(k, tokens[a:b]):
+        if plausible(k, tokens[a:b], model.features.names):
             text = int(np.searchsorted(begins, a, side="right")) - 1
             out[text].append((a - int(begins[text]), b - int(begins[text]), k))
     return out

@@ -5,15 +5,13 @@ The patterns hold for Java and RE2 alike, so the SQL twin shares them.
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions.text import WHITE, spaced
 from parlance.operators.runs import merged_runs
 from parlance.operators.segments import delivered_once, milliseconds, unified, usable
-from parlance.sources.shared import width, written
+from parlance.sources.shared import written
 
 #: Sounds a transcriber notes down, alone within brackets, asterisks or notes.
 SOUNDS = "applause|background noise|beep|beeping|breathing|cheering|clears throat|coughing|coughs|cross ?talk|door closes|door opens|inaudible|indistinct|laughing|laughs|laughter|music|music playing|noise|pause|phone ringing|sighing|sighs|silence|sneezes|sniffs|static|unintelligible"
@@ -69,10 +67,15 @@ def opening_label(text: Column) -> Column:
     return F.when(digits != "", F.concat(F.lit("SPEAKER_"), digits))
 
 
-def clean_text(text: Column, lang: Column, already: bool = False) -> Column:
-    """The clean text, given its session's language (en where it is null or unknown); already: of what said() gave."""
-    x = text if already else said(text)
-    return F.trim(F.regexp_replace(F.when(x.rlike(FILLERS), by_language(x, lang)).otherwise(x), r"^[\s,]+|\s+(?:,\s+)?", " "))
+def tidy(text: Column) -> Column:
+    """Single blanks, and none or a comma left at the ends where something was taken out."""
+    return F.trim(F.regexp_replace(text, r"^[\s,]+|\s+(?:,\s+)?", " "))
+
+
+def clean_text(text: Column, lang: Column) -> Column:
+    """The clean text, given its session's language (en where it is null or unknown)."""
+    x = said(text)
+    return tidy(F.when(x.rlike(FILLERS), by_language(x, lang)).otherwise(x))
 
 
 def vote(text: Column) -> Column:
@@ -108,107 +111,52 @@ def by_language(text: Column, lang: Column) -> Column:
 
 def measured(segments: DataFrame, keep_text: bool = False) -> DataFrame:
     """(session_id, pos, start_s, end_s, label, vote, n, rest) per usable segment: n words, and in rest what was
-    said where a filler may have to go; with keep_text rest is what was said everywhere.
+    said where a filler may have to go; with keep_text also text, the clean text where none has to.
 
     Texts are read once, where they lie. Most have no sign that OPENING or NOISE needs and are only tested for
-    fillers and counted; only those with fillers are shuffled.
+    fillers and counted; only those with fillers are shuffled, unless texts are kept.
     """
     text = F.coalesce("text", F.lit(""))
     label = F.when(F.col("speaker").isNull() | (F.col("speaker") == ""), opening_label(F.col("text"))).otherwise(F.col("speaker"))
     base = segments.select("session_id", "pos", "seg_id", "start_s", "end_s", label.alias("label"), F.when((F.octet_length(text) != F.length(text)) | text.rlike(NOTED), said(text)).otherwise(text).alias("x"))
-    rest = F.col("x") if keep_text else F.when(F.col("x").rlike(FILLERS), F.col("x"))
-    once = delivered_once(base, F.col("start_s"), F.col("end_s"), F.col("label"), vote(F.col("x")).alias("vote"), F.regexp_count("x", F.lit(WORDS)).cast("int").alias("n"), rest.alias("rest"))
+    base = base.withColumn("filled", F.col("x").rlike(FILLERS))
+    kept = [F.when(~F.col("filled"), tidy(F.col("x"))).alias("text")] if keep_text else []
+    once = delivered_once(base, F.col("start_s"), F.col("end_s"), F.col("label"), vote(F.col("x")).alias("vote"), F.regexp_count("x", F.lit(WORDS)).cast("int").alias("n"), F.when(F.col("filled"), F.col("x")).alias("rest"), *kept)
     return once.where(usable())
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """What measured() gave, with n less the fillers of the session's language, rows without a word left out."""
-    kept = ["session_id", "pos", "start_s", "end_s", "label", "n"]
+    """What measured() gave, with n, and text if kept, less the fillers of the session's language; rows without a
+    word are left out."""
+    kept = ["session_id", "pos", "start_s", "end_s", "label", "n", *(["text"] if "text" in rows.columns else [])]
     told = with_language(rows.where(F.col("rest").isNotNull()), session_languages(rows))
-    less = told.withColumn("n", F.regexp_count(by_language(F.col("rest"), F.col("lang")), F.lit(WORDS)).cast("int"))
+    less = told.withColumn("rest", by_language(F.col("rest"), F.col("lang")))
+    less = less.withColumns({"n": F.regexp_count("rest", F.lit(WORDS)).cast("int"), "text": tidy(F.col("rest"))})
     return rows.where(F.col("rest").isNull()).select(*kept).unionByName(less.select(*kept)).where(F.col("n") > 0)
 
 
-def clean_turns(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float = 5.0) -> DataFrame:
-    """(session_id, first_pos, last_pos, speaker, start_s, end_s, n_segments, n_words) per clean turn.
+def clean_turns(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float = 5.0, keep_text: bool = False) -> DataFrame:
+    """(session_id, first_pos, last_pos, speaker, start_s, end_s, n_segments, n_words) per clean turn, and with
+    keep_text its text, the clean texts of its segments joined by blanks.
 
     Repeated deliveries count once, segments without usable times or without a word left drop out, a null text
     has no word. Null speakers take the label the text opens with, else UNKNOWN. end_s is that of the turn's
-    last segment; names of one speaker are clustered within the session, see cluster_names.
+    last segment; names of one speaker are clustered within the session, see cluster_names. A turn's text is one
+    value, so one turn, a speaker's run without a pause, must fit memory.
     """
-    return _turns(written(measured(segments), "measured"), speaker_names, max_gap_s)
-
-
-def _turns(rows: DataFrame, speaker_names: DataFrame, max_gap_s: float) -> DataFrame:
-    known = unified(counted(rows), speaker_names).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.col("n").alias("weight"))
+    rows = written(measured(segments, keep_text), "measured")
+    told = ["text"] if keep_text else []
+    known = unified(counted(rows), speaker_names).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.col("n").alias("weight"), *told)
+    # written before it is range-sorted, as the borders are sampled from it
     runs = merged_runs(written(known, "labelled"), max_gap_s)
-    return runs.select(F.col("entity").alias("session_id"), "first_pos", F.col("label").alias("speaker"), F.col("s").alias("start_s"), F.col("last_e").alias("end_s"), "last_pos", F.col("n").alias("n_segments"), F.col("weight").alias("n_words"))
+    return runs.select(F.col("entity").alias("session_id"), "first_pos", F.col("label").alias("speaker"), F.col("s").alias("start_s"), F.col("last_e").alias("end_s"), "last_pos", F.col("n").alias("n_segments"), F.col("weight").alias("n_words"), *told)
 
 
-def found_turns(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float = 5.0) -> DataFrame:
-    turns = clean_turns(segments, speaker_names, max_gap_s)
-    return turns.select("session_id", "first_pos", "speaker", milliseconds(F.col("start_s")).alias("start_ms"), milliseconds(F.col("end_s")).alias("end_ms"), "n_words")
+def found_turns(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float = 5.0, keep_text: bool = False) -> DataFrame:
+    """(session_id, first_pos, speaker, start_ms, end_ms, n_words) per clean turn, and with keep_text its text."""
+    turns = clean_turns(segments, speaker_names, max_gap_s, keep_text)
+    return turns.select("session_id", "first_pos", "speaker", milliseconds(F.col("start_s")).alias("start_ms"), milliseconds(F.col("end_s")).alias("end_ms"), "n_words", *(["text"] if keep_text else []))
 
 
 def turns_with_text(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float = 5.0) -> DataFrame:
-    """(session_id, first_pos, speaker, start_ms, end_ms, n_words, text) per clean turn.
-
-    Turns and texts are range-sorted together, and each text belongs to the last turn that opens at or before
-    it. A turn's text is one value, so one turn, a speaker's run without a pause, must fit memory. Texts are
-    cleaned once and both sides read the same rows and the same languages.
-    """
-    rows = written(measured(segments, keep_text=True), "measured")
-    filled_rows = rows.withColumn("rest", F.when(F.col("rest").rlike(FILLERS), F.col("rest")))
-    turns = _turns(filled_rows, speaker_names, max_gap_s)
-    told = with_language(rows, session_languages(rows))
-    texts = told.select("session_id", "pos", "start_s", clean_text(F.col("rest"), F.col("lang"), True).alias("text")).where(F.regexp_count("text", F.lit(WORDS)) > 0)
-    # turns in order don't overlap: the last start at or before a segment's is its turn's
-    marks = turns.select("session_id", F.col("start_s").alias("at"), F.col("first_pos").alias("pos"), F.lit(None).cast("string").alias("text"), F.struct("first_pos", "speaker", milliseconds(F.col("start_s")).alias("start_ms"), milliseconds(F.col("end_s")).alias("end_ms"), "n_words").alias("turn"), F.lit(0).alias("side"))
-    both = marks.unionByName(texts.select("session_id", F.col("start_s").alias("at"), "pos", "text", F.lit(None).cast(marks.schema["turn"].dataType).alias("turn"), F.lit(1).alias("side")))
-    return filled(both)
-
-
-def filled(both: DataFrame) -> DataFrame:
-    """Turns with the texts that follow their marks, in ranges sorted by session, time, position and side.
-
-    What a range holds before its first mark belongs to the last mark of the ranges before, of which one row
-    a range is kept and carried on.
-    """
-    order = ["session_id", "at", "pos", "side"]
-    ranges = both.repartitionByRange(width(both.sparkSession), *order).sortWithinPartitions(*order)
-    found = written(ranges.mapInArrow(_fill, _FILL_SCHEMA), "turns")
-    w = Window.partitionBy("session_id").orderBy("part", "k").rowsBetween(Window.unboundedPreceding, 0)
-    edges = found.where(F.col("edge")).withColumn("turn", F.last("turn", ignorenulls=True).over(w))
-    joined = edges.groupBy("session_id", "turn").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "k", "text"))), lambda x: x["text"]), " ").alias("text"))
-    rows = found.where(~F.col("edge")).select("session_id", "turn", "text").unionByName(joined)
-    return rows.select("session_id", "turn.first_pos", "turn.speaker", "turn.start_ms", "turn.end_ms", "turn.n_words", F.trim("text").alias("text"))
-
-
-_TURN = "struct<first_pos bigint, speaker string, start_ms bigint, end_ms bigint, n_words bigint>"
-_FILL_SCHEMA = f"part int, k bigint, edge boolean, session_id string, turn {_TURN}, text string"
-
-
-def _fill(batches):
-    """Per session and turn of a range one row; those that neighbouring ranges may share are edges."""
-    part = TaskContext.get().partitionId()
-    open_row, k = None, 0
-
-    def out(rows):
-        cols = list(zip(*rows))
-        kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.string(), pa.struct([("first_pos", pa.int64()), ("speaker", pa.string()), ("start_ms", pa.int64()), ("end_ms", pa.int64()), ("n_words", pa.int64())]), pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["part", "k", "edge", "session_id", "turn", "text"])
-
-    for batch in batches:
-        rows = []
-        for session, turn, text in zip(*(batch.column(c).to_pylist() for c in ("session_id", "turn", "text"))):
-            if open_row is None or turn is not None or session != open_row[0]:
-                if open_row is not None:
-                    rows.append((part, k, k == 0, open_row[0], open_row[1], " ".join(open_row[2])))
-                    k += 1
-                open_row = (session, turn, [])
-            if text is not None:
-                open_row[2].append(text)
-        if rows:
-            yield out(rows)
-    if open_row is not None:
-        yield out([(part, k, True, open_row[0], open_row[1], " ".join(open_row[2]))])
+    return found_turns(segments, speaker_names, max_gap_s, keep_text=True)

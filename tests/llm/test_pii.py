@@ -72,7 +72,8 @@ def test_all_names_are_looked_up(spark):
 
 def test_pruned_decoding_is_exact(model):
     for tokens, _ in pii.labelled(list(GIVEN), list(FAMILY), rounds=1, seed=5)[::7]:
-        whole = model.viterbi(model.emissions(tokens)[None])[0]
+        tokens = [tokens[i] for i in pii.unfilled(tokens)]
+        whole = model.viterbi(model.emissions(model.numbers(tokens))[None])[0]
         assert model.decode(tokens).tolist() == whole.tolist()
 
 
@@ -80,6 +81,7 @@ CASES = [
     ("Call me on (555) 555-0142 after lunch.", "Call me on [PHONE] after lunch."),
     ("Thanks to June Sarnomble for the minutes.", "Thanks to [NAME] for the minutes."),
     ("Just write to june.sarnomble@larkdesk.test when the draft is ready.", "Just write to [EMAIL] when the draft is ready."),
+    ("Thanks to June, you know, Sarnomble um for it.", "Thanks to [NAME], you know, [NAME] um for it."),
     ("My tax number is 19800323-0193, in case payroll asks.", "My tax number is [ID_NUMBER], in case payroll asks."),
     ("The parcel went to Flat 22, 141 Tarrant Avenue, Quarrowby instead.", "The parcel went to [ADDRESS] instead."),
     ("Let us move the draft to May and keep the cable as it is.", None), ("Prices rose, so catering moved the pump.", None), ("Order 244-1616 came back on Friday.", None), ("Project Larkspur still waits.", None), ("", None),
