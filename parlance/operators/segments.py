@@ -159,13 +159,14 @@ def cluster_names(labels: list[str], numbers: list[str | None]) -> list[str]:
     return [clusters.number[clusters.find(i)] or longest[clusters.find(i)] for i in range(len(labels))]
 
 
-def name_table(labelled: DataFrame, speaker_names: DataFrame, label: str = "label") -> DataFrame:
-    """(session_id, label, speaker) for every label that is a name; labelled needs session_id and label.
+def name_table(labelled: DataFrame, speaker_names: DataFrame) -> DataFrame:
+    """(session_id, label, speaker) for every label that is a name; labelled needs session_id and label, null where
+    the label is none.
 
     Distinct labels only are shuffled, and a task streams through sorted transcripts, one at a time in
     memory: its distinct spellings, whose number follows its speakers and not its rows.
     """
-    names = labelled.where(F.col(label).isNotNull() & numbered(F.col(label)).isNull()).select("session_id", F.col(label).alias("label")).distinct()
+    names = labelled.where(F.col("label").isNotNull()).select("session_id", "label").distinct()
     known = speaker_names.where(F.col("display_name").isNotNull() & (F.trim("display_name") != "")).groupBy("session_id", F.col("display_name").alias("label")).agg(F.min(numbered(F.col("speaker"))).alias("speaker"))
     both = names.withColumn("known", F.lit(None).cast("string")).withColumn("asked", F.lit(True)).unionByName(known.withColumnRenamed("speaker", "known").withColumn("asked", F.lit(False)))
     ordered = both.repartition("session_id").sortWithinPartitions("session_id", "known", "label")
@@ -192,13 +193,20 @@ def name_table(labelled: DataFrame, speaker_names: DataFrame, label: str = "labe
     return ordered.mapInPandas(solve, "session_id string, label string, speaker string")
 
 
-def unified(segments: DataFrame, speaker_names: DataFrame, label: str = "label") -> DataFrame:
-    """segments with the column speaker: SPEAKER_nn, UNKNOWN, or for names nobody knows their longest spelling.
+def split_label(label: Column) -> list[Column]:
+    """The columns speaker, the unified label of a numbered one, and label, the label where it is a name; one of
+    them is null. Read once, where the rows lie."""
+    speaker = numbered(label)
+    return [speaker.alias("speaker"), F.when(speaker.isNull(), label).alias("label")]
+
+
+def unified(rows: DataFrame, speaker_names: DataFrame) -> DataFrame:
+    """rows with speaker and label of split_label; then with speaker alone: SPEAKER_nn, UNKNOWN, or for names nobody
+    knows their longest spelling.
 
     Only rows whose label is a name meet the name table; numbered labels, nearly all rows, aren't shuffled.
     """
-    plain = segments.withColumn("speaker", numbered(F.col(label)))
-    rest = plain.where(F.col("speaker").isNull()).drop("speaker")
-    found = name_table(segments, speaker_names, label)
-    met = rest.alias("r").join(found.alias("n"), F.col("r.session_id").eqNullSafe(F.col("n.session_id")) & (F.col(f"r.{label}") == F.col("n.label")), "left").select("r.*", F.coalesce("n.speaker", f"r.{label}").alias("speaker"))
-    return plain.where(F.col("speaker").isNotNull()).unionByName(met)
+    found = name_table(rows, speaker_names)
+    rest = [c for c in rows.columns if c not in ("speaker", "label")]
+    met = rows.where(F.col("speaker").isNull()).alias("r").join(found.alias("n"), F.col("r.session_id").eqNullSafe(F.col("n.session_id")) & (F.col("r.label") == F.col("n.label")), "left").select(*[f"r.{c}" for c in rest], F.coalesce("n.speaker", "r.label").alias("speaker"))
+    return rows.where(F.col("speaker").isNotNull()).drop("label").unionByName(met)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from parlance.config import ChunkConfig
 from parlance.operators.chunks import chunk_turns, records
+from parlance.sources.shared import scratch
 from parlance.sources.transcripts import DOCUMENT, NO_TRANSCRIPT, segments_of
 
 
@@ -22,7 +23,8 @@ def chunk_arrivals(spark: SparkSession, source: str, sink: str, checkpoint: str,
 
     def process(batch: DataFrame, number: int) -> None:
         segments = segments_of(batch.where(~F.col("path").endswith("/" + NO_TRANSCRIPT)))
-        records(chunk_turns(segments, config)).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        with scratch():
+            records(chunk_turns(segments, config)).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     writer = found.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

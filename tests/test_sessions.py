@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from parlance.operators import sessions, summarize
@@ -41,6 +43,20 @@ def test_outcomes(spark):
     assert [r[0] for r in d.select(sessions.outcome(F.col("t"), F.col("c"), F.col("f"))).collect()] == ["no_transcript", "no_speech", "failed", "yes"]
 
 
+def test_status_lines(spark):
+    d = spark.createDataFrame([("a", "yes", "no"), ("b", "no_speech", "skipped"), ("c", "no_transcript", "already missing"), ("d", "failed", "yes")], "session_id string, outcome string, deleted string")
+    of = lambda profile: {s: [r.line for r in sorted(sessions.status_lines(d, profile).collect(), key=lambda r: r.line_no) if r.session_id == s] for s in "abcd"}
+    lesson, meeting = of("lesson"), of("meeting")
+    assert lesson["a"] == ["Source audio deleted after transcription: no", "Chunking: yes", "Summaries: yes"] == meeting["a"]
+    assert lesson["b"][1:] == ["Chunking: no speech detected", "Summaries: skipped (no chunks)"] and meeting["b"][1:] == ["Chunking: yes", "Summaries: no chunks found"]
+    assert lesson["c"][1:] == ["Chunking: no JSON found"] and meeting["c"][2] == "Summaries: no chunks found" and meeting["d"][2] == "Summaries: failed"
+
+
+def test_unknown_profile_names_the_known(spark):
+    with pytest.raises(ValueError, match="lesson, meeting"):
+        summarize.reduce_prompts(spark.createDataFrame([], "session_id string, combined string"), "other")
+
+
 def test_one_call_per_chunk(spark):
     calls = spark.sparkContext.accumulator(0)
 
