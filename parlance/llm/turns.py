@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions.text import WHITE, spaced
 from parlance.operators.runs import merged_runs
-from parlance.operators.segments import delivered_once, milliseconds, unified, usable
+from parlance.operators.segments import delivered_once, milliseconds, split_label, unified, usable
 from parlance.sources.shared import written
 
 #: Sounds a transcriber notes down, alone within brackets, asterisks or notes.
@@ -110,8 +110,9 @@ def by_language(text: Column, lang: Column) -> Column:
 
 
 def measured(segments: DataFrame, keep_text: bool = False) -> DataFrame:
-    """(session_id, pos, start_s, end_s, label, vote, n, rest) per usable segment: n words, and in rest what was
-    said where a filler may have to go; with keep_text also text, the clean text where none has to.
+    """(session_id, pos, start_s, end_s, speaker, label, vote, n, rest) per usable segment: speaker and label as of
+    split_label, n words, and in rest what was said where a filler may have to go; with keep_text also text, the
+    clean text where none has to.
 
     Texts are read once, where they lie. Most have no sign that OPENING or NOISE needs and are only tested for
     fillers and counted; only those with fillers are shuffled, unless texts are kept.
@@ -121,16 +122,15 @@ def measured(segments: DataFrame, keep_text: bool = False) -> DataFrame:
     base = segments.select("session_id", "pos", "seg_id", "start_s", "end_s", label.alias("label"), F.when((F.octet_length(text) != F.length(text)) | text.rlike(NOTED), said(text)).otherwise(text).alias("x"))
     base = base.withColumn("filled", F.col("x").rlike(FILLERS))
     kept = [F.when(~F.col("filled"), tidy(F.col("x"))).alias("text")] if keep_text else []
-    once = delivered_once(base, F.col("start_s"), F.col("end_s"), F.col("label"), vote(F.col("x")).alias("vote"), F.regexp_count("x", F.lit(WORDS)).cast("int").alias("n"), F.when(F.col("filled"), F.col("x")).alias("rest"), *kept)
+    once = delivered_once(base, F.col("start_s"), F.col("end_s"), *split_label(F.col("label")), vote(F.col("x")).alias("vote"), F.regexp_count("x", F.lit(WORDS)).cast("int").alias("n"), F.when(F.col("filled"), F.col("x")).alias("rest"), *kept)
     return once.where(usable())
 
 
-def counted(rows: DataFrame) -> DataFrame:
-    """What measured() gave, with n, and text if kept, less the fillers of the session's language; rows without a
-    word are left out."""
-    kept = ["session_id", "pos", "start_s", "end_s", "label", "n", *(["text"] if "text" in rows.columns else [])]
-    told = with_language(rows.where(F.col("rest").isNotNull()), session_languages(rows))
-    less = told.withColumn("rest", by_language(F.col("rest"), F.col("lang")))
+def counted(rows: DataFrame, languages: DataFrame) -> DataFrame:
+    """rows with n, and text if there is one, less the fillers of the session's language; rows without a word are
+    left out."""
+    kept = [c for c in rows.columns if c not in ("rest", "vote")]
+    less = with_language(rows.where(F.col("rest").isNotNull()), languages).withColumn("rest", by_language(F.col("rest"), F.col("lang")))
     less = less.withColumns({"n": F.regexp_count("rest", F.lit(WORDS)).cast("int"), "text": tidy(F.col("rest"))})
     return rows.where(F.col("rest").isNull()).select(*kept).unionByName(less.select(*kept)).where(F.col("n") > 0)
 
@@ -141,12 +141,13 @@ def clean_turns(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float
 
     Repeated deliveries count once, segments without usable times or without a word left drop out, a null text
     has no word. Null speakers take the label the text opens with, else UNKNOWN. end_s is that of the turn's
-    last segment; names of one speaker are clustered within the session, see cluster_names. A turn's text is one
+    last segment; names of one speaker are clustered among those of all usable segments of the session, see
+    cluster_names. A turn's text is one
     value, so one turn, a speaker's run without a pause, must fit memory.
     """
     rows = written(measured(segments, keep_text), "measured")
     told = ["text"] if keep_text else []
-    known = unified(counted(rows), speaker_names).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.col("n").alias("weight"), *told)
+    known = counted(unified(rows, speaker_names), session_languages(rows)).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.col("n").alias("weight"), *told)
     # written before it is range-sorted, as the borders are sampled from it
     runs = merged_runs(written(known, "labelled"), max_gap_s)
     return runs.select(F.col("entity").alias("session_id"), "first_pos", F.col("label").alias("speaker"), F.col("s").alias("start_s"), F.col("last_e").alias("end_s"), "last_pos", F.col("n").alias("n_segments"), F.col("weight").alias("n_words"), *told)
