@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.operators.runs import merged_runs
-from parlance.operators.segments import delivered_once, milliseconds, unified, usable
+from parlance.operators.segments import delivered_once, milliseconds, split_label, unified, usable
 from parlance.sources.shared import written
 
 
@@ -17,7 +17,7 @@ def speaker_runs(segments: DataFrame, speaker_names: DataFrame, max_gap_s: float
     Repeated deliveries count once; null or empty speakers are UNKNOWN; a null session is one of its own;
     segments without usable times are left out. Equal starts are ordered by pos. No rows for no segments.
     """
-    once = delivered_once(segments, F.col("start_s"), F.col("end_s"), F.col("speaker").alias("label")).where(usable())
+    once = delivered_once(segments, F.col("start_s"), F.col("end_s"), *split_label(F.col("speaker"))).where(usable())
     rows = unified(once, speaker_names).select(F.col("session_id").alias("entity"), F.col("speaker").alias("label"), "pos", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.lit(1).alias("weight"))
     # written before it is range-sorted, as the borders are sampled from it
     runs = merged_runs(written(rows, "labelled"), max_gap_s)

@@ -30,6 +30,22 @@ def test_shares_and_caps(spark):
     assert len(set(firsts)) == 3
 
 
+def test_size_of_a_mixture(spark):
+    plans = spark.createDataFrame([("p", "big", 0.5, 3), ("p", "mid_size", 0.5, 3)], PLANS)
+    shares = mixing.replicated(corpus(spark), plans, most_tokens=5000)[1].collect()
+    assert abs(sum(r.taken_tokens for r in shares) - 5000) < 100 and all(abs(r.share - 0.5) < 0.02 for r in shares)
+    checks = mixing.checked(*mixing.replicated(corpus(spark), plans)).collect()
+    assert len(checks) == 2 and all(r.within_cap and r.whole for r in checks)
+
+
+def test_vocabulary_travels():
+    import pickle
+
+    with open("/opt/tokenizers/byte_bpe_50k.tiktoken", "rb") as f:
+        known = pickle.loads(pickle.dumps(mixing.Vocabulary(f.read())))
+    assert known.sizes(["Hello world", "", "a"]) == [2, 0, 1]
+
+
 def test_counts_are_poisson():
     import numpy as np
 
