@@ -45,9 +45,25 @@ def shortest_words(text: bytes, words: int) -> int:
     return int((starts[words:] - starts[:-words]).min()) - 1 if len(starts) > words else 0
 
 
+def pieces(text: str, overlap: int, size: int = 4096) -> list[str]:
+    """The text, or for one of more than `size` bytes pieces of that size at most, each with the last `overlap` words
+    of the one before; a longer word is a piece of its own."""
+    if len(text.encode()) <= size:
+        return [text]
+    words = text.split(" ")
+    ends = np.cumsum([len(w.encode()) + 1 for w in words])
+    out, a = [], 0
+    while True:
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + size, side="right")))
+        out.append(" ".join(words[a:b]))
+        if b == len(words):
+            return out
+        a = max(a + 1, b - overlap)
+
+
 class Index:
     """The q-grams of a block of items in sorted arrays, where each occurs, and a table of bits to pass over most
-    others; built once and broadcast. About 24 bytes a byte of items.
+    others; built once and broadcast. About 24 bytes a byte of items. A long item stands in overlapping pieces.
 
     A band of an item is kept if one of two numbers of shared q-grams lies within one of two lengths of text, both
     by the q-gram lemma. equal: the fewest bytes of any `words` words of the item, without an edit. edited:
@@ -55,8 +71,9 @@ class Index:
     """
 
     def __init__(self, items: list[tuple[int, str]], words: int, max_error: float = 0.05, least_bytes: int = 60):
-        self.words, self.ids = words, [i for i, _ in items]
-        self.texts = [t.encode() for _, t in items]
+        parts = [(i, len(t.encode()), x) for i, t in items for x in pieces(t, max(64, 2 * words))]
+        self.words, self.ids, self.wholes = words, [i for i, _, _ in parts], [n for _, n, _ in parts]
+        self.texts = [x.encode() for _, _, x in parts]
         sizes = np.array([len(t) for t in self.texts], np.int64)
         #: the length from which an edited region of the item counts
         self.region = np.maximum(2 * words - 1, np.minimum(least_bytes, np.ceil(0.9 * sizes))).astype(np.int64)
@@ -231,7 +248,8 @@ def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: fl
     Every band with enough shared q-grams is verified by alignment. A pair is kept if the best alignment within
     a band scores what `words` equal words of the item would and the pair then has such a run (n_words, else 0), or
     if it has at most max_error edits a byte over at least least_bytes bytes, or nine tenths of an item shorter than
-    that. n_chars, n_edits and item_share describe the best alignment. The filter loses nothing: `words` words are at
+    that. n_chars, n_edits and item_share describe the best alignment; of an item of over 4096 bytes, which is taken
+    in overlapping pieces, these and n_words are the best of any piece. The filter loses nothing: `words` words are at
     least 2 words - 1 bytes, so they share that many less Q - 1 q-grams on one diagonal; L bytes with e edits
     share L + 1 - Q (e + 1).
 
@@ -273,10 +291,14 @@ def regions(index: Index, ids: list[int], texts: list[str], max_error: float) ->
     # of one length of item together, as the alignment goes over its bytes
     todo.sort(key=lambda x: len(index.texts[x[1]]))
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for a in range(0, len(todo), 1024):
-        part = todo[a : a + 1024]
-        for (d, k, _), found in zip(part, aligned([texts[d].encode() for d, _, _ in part], [index.texts[k] for _, k, _ in part], [low for _, _, low in part])):
+    data = {d: texts[d].encode() for d in {d for d, _, _ in todo}}
+    a = 0
+    while a < len(todo):
+        b = a + min(1024, max(1, (4 << 20) // len(index.texts[todo[min(a + 1023, len(todo) - 1)][1]])))
+        part = todo[a:b]
+        for (d, k, _), found in zip(part, aligned([data[d] for d, _, _ in part], [index.texts[k] for _, k, _ in part], [low for _, _, low in part])):
             best[d, k] = max(best.get((d, k), (0, 0)), found, key=lambda x: x[0] - 3 * x[1])
+        a = b
     out, split = [], {}
     for (d, k), (n, e) in sorted(best.items()):
         equal = 0
@@ -285,7 +307,7 @@ def regions(index: Index, ids: list[int], texts: list[str], max_error: float) ->
                 split = {d: texts[d].split(" ")}
             equal = shared_words(index, split[d], k)
         if equal or n >= index.region[k] and e <= max_error * n:
-            out.append((ids[d], index.ids[k], equal, n, e, n / len(index.texts[k])))
+            out.append((ids[d], index.ids[k], equal, n, e, n / index.wholes[k]))
     return out
 
 

@@ -85,6 +85,18 @@ def test_recall_of_edited_passages():
     assert sum(k != want[d] for d, k in got) <= 4
 
 
+def test_long_items(spark):
+    """Runs of twelve words anywhere in an item of many pieces are found, in a long document too."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choices("abcdefghijklmnopqrstuvwy", k=r.randint(2, 9)))
+    words = [word() for _ in range(4000)]
+    assert [w for k, p in enumerate(leaks.pieces(" ".join(words), 64)) for w in p.split(" ")[64 * (k > 0) :]] == words
+    docs = [(i, " ".join([word() for _ in range(300 if i else 30_000)] + words[a : a + 12] + [word() for _ in range(20)])) for i, a in enumerate(range(0, 3988, 311))]
+    docs += [(99, " ".join(words[5:16]))]
+    got = leaks.found_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, " ".join(words)), (2, "x" * 9000)], ITEMS))
+    assert rows(got) == sorted([(i, 1) for i in range(13)], key=repr)
+
+
 def test_size_of_the_index():
     r = random.Random(2)
     items = [(i, " ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(300))) for i in range(400)]
