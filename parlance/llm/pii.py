@@ -119,8 +119,13 @@ class Model:
         self.vectors = np.zeros((1024, 2 * REACH + 1, len(LABELS)), np.float32)
         self.filler = np.zeros(1024, bool)
         t = transitions
-        #: the most a label other than `other` can gain by its transitions
-        self.gain = np.array([max(t[a, y] + t[y, b] - t[a, 0] - t[0, b] for a in range(len(LABELS)) for b in range(len(LABELS))) for y in range(len(LABELS))])
+        # what a label gains over `other` by the step to it and from it, at most, for each set of labels, as bits,
+        # that its neighbour may have
+        sets = (np.arange(1 << len(LABELS))[:, None] >> np.arange(len(LABELS))) & 1 > 0
+        best = lambda gain: np.where(sets[:, :, None], gain[None], -np.inf).max(1).astype(np.float32)
+        with np.errstate(invalid="ignore"):
+            self.before, self.after = best(t - t[:, :1]), best((t - t[:1]).T)
+        self.before[0] = self.after[0] = 0
 
     def __getstate__(self):
         return self.features, self.names, self.weights, self.transitions, self.lean
@@ -174,9 +179,10 @@ class Model:
         """The best label of every token; fillers and the stops after them are passed over, so that what
         stands around them meets, and are `other`.
 
-        A token whose score for `other` beats every label by more than transitions can make up is `other` on
-        the best path. Such tokens cut the text into short stretches, each decoded by Viterbi on its own, all
-        stretches of a length at once.
+        A label that `other` beats at a token by more than the steps from and to any label its neighbours may have
+        can make up isn't on the best path; leaving it out may rule out others beside it. Tokens that may have
+        `other` alone cut the text into short stretches, each decoded by Viterbi on its own, all stretches of
+        a length at once.
         """
         labels = np.zeros(len(tokens), np.int8)
         if not tokens:
@@ -189,15 +195,34 @@ class Model:
         ids = ids[said]
         out = np.zeros(len(ids), np.int8)
         e = self.emissions(ids)
-        open_ = ((e[:, 1:] + self.gain[1:]) >= e[:, :1]).any(1)
-        open_ &= ids != self.number(BORDER)
-        edge = np.diff(np.concatenate([[0], open_.astype(np.int8), [0]]))
+        e -= e[:, :1].copy()
+        bits = (1 << np.arange(len(LABELS))).astype(np.int16)
+        may = np.full(len(ids) + 2, bits.sum(), np.int16)  # with `other` on either side
+        may[0] = may[-1] = 1
+        may[1:-1][ids == self.number(BORDER)] = 1
+        todo = np.flatnonzero(may[1:-1] > 1)
+        shrinks = True
+        while shrinks:
+            possible = e[todo] + self.before[may[todo]] + self.after[may[todo + 2]] >= 0
+            possible[:, 0] = True
+            left = possible @ bits
+            may[todo + 1] = left
+            shrinks = 0.97 * len(todo) > (left > 1).sum()
+            todo = todo[left > 1]
+        edge = np.diff(np.concatenate([[0], (may[1:-1] > 1).astype(np.int8), [0]]))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         lengths = ends - starts
-        for n in np.unique(lengths):
-            at = starts[lengths == n]
-            for a in range(0, len(at), 1 << 15):
-                out[at[a : a + (1 << 15), None] + np.arange(n)] = self.viterbi(e[at[a : a + (1 << 15), None] + np.arange(n)])
+        # stretches of similar length go together, the shorter ones filled up with tokens that are `other`
+        step = np.maximum(1, 2 ** np.maximum(0, np.floor(np.log2(np.maximum(lengths, 1))).astype(int) - 2))
+        sizes = -(-lengths // step) * step
+        e = np.concatenate([e, np.array([[0] + [-1e6] * (len(LABELS) - 1)], np.float32)])
+        for n in np.unique(sizes):
+            some = np.flatnonzero(sizes == n)
+            for part in np.array_split(some, -(-len(some) * int(n) // (1 << 19))):
+                at = starts[part, None] + np.arange(n)
+                inside = np.arange(n) < lengths[part, None]
+                found = self.viterbi(e[np.where(inside, at, len(ids))])
+                out[at[inside]] = found[inside]
         labels[said] = out
         return labels
 
