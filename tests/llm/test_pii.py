@@ -61,11 +61,11 @@ def test_held_out(model):
     assert hit / (hit + miss) > 0.93 and hit / (hit + false) > 0.93
 
 
-def test_all_names_are_looked_up(spark):
+def test_all_names_are_looked_up(spark, monkeypatch):
     """The names that fill the table are a bounded sample, those looked up are all."""
     names = spark.createDataFrame([(f"Name{i:03d}x", k) for i in range(40) for k in ("given", "family")], "name string, kind string")
-    model = pii.trained(names, fill_names=5)
-    assert len(model.features.given) == 40 == len(model.features.family)
+    monkeypatch.setattr(pii, "train", lambda *lists: lists)
+    assert [len(x) for x in pii.trained(names, fill_names=5)] == [5, 5, 40, 40]
     with pytest.raises(ValueError):
         pii.trained(names, most_names=10)
 
