@@ -63,7 +63,7 @@ def pieces(text: str, overlap: int, size: int = 4096) -> list[str]:
 
 class Index:
     """The q-grams of a block of items in sorted arrays, where each occurs, and a table of bits to pass over most
-    others; built once and broadcast. About 24 bytes a byte of items. A long item stands in overlapping pieces.
+    others; built once and broadcast. At most 24 bytes a byte of items. A long item stands in overlapping pieces.
 
     A band of an item is kept if one of two numbers of shared q-grams lies within one of two lengths of text, both
     by the q-gram lemma. equal: the fewest bytes of any `words` words of the item, without an edit. edited:
@@ -256,7 +256,7 @@ def leaks(documents: DataFrame, items: DataFrame, words: int = 12, max_error: fl
     Case and everything but letters and digits are ignored. Null or empty texts share nothing; rows with
     equal ids are taken together. Whole texts are searched, long ones in slices. Items are the query set: their
     index goes to the executors once, in blocks of block_bytes of text at most, one pass over the documents a
-    block. Measured: 24 MB for each MB of items, 200 MB for a full block.
+    block. Measured on a full block of made-up passages: 144 MB in a worker, 643 MB on the driver while it is built.
     """
     spark = documents.sparkSession
     out = None

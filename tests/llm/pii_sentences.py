@@ -1,4 +1,8 @@
-"""Sentences that are neither in the labelled table nor in the test tables; personal data stands in {type: ...}."""
+"""Sentences that are neither in the labelled table nor in the test tables; personal data stands in {type: ...}.
+
+The table was widened and the lean of the field set while looking at what was missed here, so they are a
+development set: recall on them is higher than on text never looked at.
+"""
 
 SENTENCES = """
 Reach out to {name: Maria Gonzalez} if the badge reader fails.
