@@ -164,12 +164,12 @@ def heading_of(line: str) -> str:
     return line.strip().strip("#*_: \t").lower()
 
 
-def unfinished(answer: str, headings: list[tuple[str, int]], lines: list[str], goes_on: frozenset[str]) -> bool:
-    """An open delimiter, an end within a sentence, a section without content, or none after one that goes on."""
+def unfinished(answer: str, headings: list[tuple[str, int]], lines: list[str]) -> bool:
+    """An open delimiter, an end within a sentence, or a section without content."""
     body = answer.translate(UNSEEN).strip()
     if body.count("```") % 2 or body.count("(") > body.count(")") + len(re.findall(r"(?m)^\s*\w\)", body)) or body.count("[") > body.count("]") or body.count("{") > body.count("}") or body.count("“") > body.count("”") or body.count("«") > body.count("»"):
         return True
-    if headings and (not all(n for _, n in headings) or heading_of(headings[-1][0]) in goes_on):
+    if not all(n for _, n in headings):
         return True
     rows = [x.strip() for x in body.splitlines() if x.strip() and not FENCE.match(x)]
     last = rows[-1] if rows else ""
@@ -180,12 +180,12 @@ def unfinished(answer: str, headings: list[tuple[str, int]], lines: list[str], g
     return not (BULLET.match(last) and not HEADING.match(last) and len(bullets) > 1 and 2 * sum(bullets) >= len(bullets))
 
 
-def defects_of(answer: str | None, text: str | None, goes_on: frozenset[str] = frozenset()) -> list[str]:
-    """Every defect of an answer to a text, in the order of DEFECTS; an empty answer has no other. goes_on: the
-    headings after which another section has to come."""
+def judged(answer: str | None, text: str | None) -> tuple[list[str], str | None]:
+    """Every defect an answer to a text has by itself, in the order of DEFECTS; an empty answer has no other. With
+    them its last heading, if a section that has to come after that one would make it truncated, else null."""
     headings, lines = parts_of(answer or "")
     if not any(WORDS.search(x) for x in lines):
-        return ["empty"]
+        return ["empty"], None
     out = []
     if refuses(lines):
         out.append("refusal")
@@ -196,38 +196,60 @@ def defects_of(answer: str | None, text: str | None, goes_on: frozenset[str] = f
             out.append("copy")
         if other_language(lines, text, words):
             out.append("language")
-    if unfinished(answer, headings, lines, goes_on):
-        out.append("truncated")
-    return out
+    if unfinished(answer, headings, lines):
+        return [*out, "truncated"], None
+    return out, heading_of(headings[-1][0]) if headings else None
+
 
+def defects_of(answer: str | None, text: str | None, goes_on: frozenset[str] = frozenset()) -> list[str]:
+    """Every defect of an answer to a text, in the order of DEFECTS. goes_on: the headings after which another
+    section has to come."""
+    out, last = judged(answer, text)
+    return [*out, "truncated"] if last in goes_on else out
 
-def sections_that_go_on(summaries: DataFrame, least_share: float = 0.002, least_rows: int = 8, most_last: float = 0.5) -> frozenset[str]:
-    """The headings after which answers go on: those that are the last heading of at most most_last of the answers
-    that have them. Counted over all answers; a heading counts if at least least_rows answers and least_share of
-    them have it among their first sixteen, so the result is bounded by 16 / least_share."""
 
-    def listed(frames):
+def headings_that_go_on(summaries: DataFrame, least_rows: int = 8, most_last: float = 0.5) -> DataFrame:
+    """(heading, last) of those after which answers go on, the last heading of at most most_last of the answers that
+    have them, with the number of answers that end there. Every heading of every answer is counted; one that fewer
+    than least_rows answers have, however large the table, is no evidence. The rows grow with the corpus, so they
+    are joined and not collected."""
+
+    def counted(frames):
         for frame in frames:
-            rows = []
+            n: Counter = Counter()
+            last: Counter = Counter()
             for a in frame["summary"]:
-                found = [heading_of(h) for h, _ in parts_of(a)[0]][:16] if isinstance(a, str) else []
-                rows += [(h, int(h == found[-1])) for h in dict.fromkeys(found)]
-            yield pd.DataFrame(rows, columns=["heading", "last"])
+                found = [heading_of(h) for h, _ in parts_of(a)[0]] if isinstance(a, str) else []
+                n.update(set(found))
+                last.update(found[-1:])
+            yield pd.DataFrame([(h, n[h], last[h]) for h in n], columns=["heading", "n", "last"])
+
+    counts = summaries.select("summary").mapInPandas(counted, "heading string, n bigint, last bigint").groupBy("heading").agg(F.sum("n").alias("n"), F.sum("last").alias("last"))
+    return counts.where((F.col("n") >= least_rows) & (F.col("last") <= most_last * F.col("n"))).select("heading", "last")
 
-    n = summaries.count()
-    counts = summaries.select("summary").mapInPandas(listed, "heading string, last bigint").groupBy("heading").agg(F.count(F.lit(1)).alias("n"), F.sum("last").alias("last"))
-    kept = counts.where((F.col("n") >= F.lit(max(least_rows, least_share * n))) & (F.col("last") <= most_last * F.col("n")))
-    return frozenset(r[0] for r in kept.select("heading").collect())
+
+def sections_that_go_on(summaries: DataFrame, least_rows: int = 8, most_last: float = 0.5) -> frozenset[str]:
+    """headings_that_go_on as a set on the driver, to look at; pair_defects joins them."""
+    return frozenset(r[0] for r in headings_that_go_on(summaries, least_rows, most_last).select("heading").collect())
+
+
+def with_missing_sections(found: DataFrame, go_on: DataFrame, salts: int = 16) -> DataFrame:
+    """found (session_id, chunk_id, defects, heading) without the heading, truncated where it is one of go_on; only
+    those where some answer ends are sent. The answers that end in the same section are spread over `salts` keys."""
+    told = go_on.where(F.col("last") > 0).select(F.col("heading").alias("_h"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt_of"))
+    spread = found.withColumn("_salt", F.pmod(F.hash("session_id", "chunk_id"), F.lit(salts)))
+    met = spread.join(told, (F.col("heading") == F.col("_h")) & (F.col("_salt") == F.col("_salt_of")), "left")
+    return met.select("session_id", "chunk_id", F.when(F.col("_h").isNull(), F.col("defects")).otherwise(F.concat("defects", F.array(F.lit("truncated")))).alias("defects"))
 
 
 def pair_defects(chunks: DataFrame, summaries: DataFrame) -> DataFrame:
     """(session_id, chunk_id, defects array<string>) for every pair of chunk and summary row, sound pairs with
     an empty array.
 
-    What sections an answer should have is taken from all answers, see sections_that_go_on. Repeated rows of a key count
+    What sections an answer should have is taken from all answers, see headings_that_go_on. Repeated rows of a key count
     once; a chunk without summary rows, or a summary without chunk, is no pair; null keys match null keys. A
     null summary is empty; a null or empty text can't be copied or have a language. Both tables meet in one
-    shuffle by key, which holds a row of each.
+    shuffle by key, which holds a row of each; keys, defects and last headings then meet the headings that go on.
     """
     key = ["session_id", F.col("chunk_id").cast("bigint").alias("chunk_id")]
     none = F.lit(None).cast("string")
@@ -235,14 +257,13 @@ def pair_defects(chunks: DataFrame, summaries: DataFrame) -> DataFrame:
     right = summaries.select(*key, none.alias("text"), F.col("summary"), F.lit(0).alias("has_text"), F.lit(1).alias("has_summary"))
     pairs = left.unionByName(right).groupBy("session_id", "chunk_id").agg(F.max("text").alias("text"), F.max("summary").alias("summary"), F.max("has_text").alias("t"), F.max("has_summary").alias("s")).where((F.col("t") == 1) & (F.col("s") == 1))
 
-    goes_on = sections_that_go_on(summaries)
-
     def judge(frames):
         for frame in frames:
-            found = [defects_of(a if isinstance(a, str) else None, t if isinstance(t, str) else None, goes_on) for a, t in zip(frame["summary"], frame["text"])]
-            yield pd.DataFrame({"session_id": frame["session_id"], "chunk_id": frame["chunk_id"], "defects": found})
+            found = [judged(a if isinstance(a, str) else None, t if isinstance(t, str) else None) for a, t in zip(frame["summary"], frame["text"])]
+            yield pd.DataFrame({"session_id": frame["session_id"], "chunk_id": frame["chunk_id"], "defects": [d for d, _ in found], "heading": [h for _, h in found]})
 
-    return pairs.select("session_id", "chunk_id", "text", "summary").mapInPandas(judge, "session_id string, chunk_id bigint, defects array<string>")
+    found = pairs.select("session_id", "chunk_id", "text", "summary").mapInPandas(judge, "session_id string, chunk_id bigint, defects array<string>, heading string")
+    return with_missing_sections(found, headings_that_go_on(summaries))
 
 
 def found_defects(chunks: DataFrame, summaries: DataFrame) -> DataFrame:

@@ -57,6 +57,17 @@ def test_sections_that_are_missing(spark):
     assert rows(pairs.found_defects(chunks, answers)) == [("s", 20, "truncated")]
 
 
+def test_rare_and_late_sections(spark):
+    """Sections that one answer in 500 or fewer has, and those after the sixteenth, are missed like any others."""
+    rare, late = ["## A\n- One thing.", "## B\n- Another thing."], [f"## S{i}\n- One thing." for i in range(20)]
+    answers = [rare] * 8 + [rare[:1]] + [late] * 8 + [late[:16], late[:17], late[:19]]
+    few = spark.createDataFrame([("s", i, "\n\n".join(a)) for i, a in enumerate(answers)], "session_id string, chunk_id bigint, summary string")
+    table = few.union(spark.range(100, 5100).selectExpr("'s'", "id", "'It went well.'"))
+    assert pairs.sections_that_go_on(table) == {"a"} | {f"s{i}" for i in range(19)}
+    chunks = spark.createDataFrame([("s", i, None, 0, TEXT) for i in range(200)], CHUNKS)
+    assert rows(pairs.found_defects(chunks, table)) == sorted([("s", i, "truncated") for i in (8, 17, 18, 19)], key=repr)
+
+
 def test_table(spark):
     kind = "session_id string, chunk_id bigint, summary string"
     chunks = spark.createDataFrame([("s", i, None, 0, TEXT) for i in range(4)] + [("s", 0, None, 0, TEXT), (None, None, None, None, None), ("s", 9, None, 0, "")], CHUNKS)
